@@ -1,0 +1 @@
+"""The workload is batch only: nothing in its surface reads or writes a stream, so there is nothing here."""
