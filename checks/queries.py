@@ -12,7 +12,7 @@ from checks import fixtures
 from gridfill.functions.albers import cell_area_m2
 from gridfill.functions.grid import CELL_KEY, TILE_KEY, DegreeGrid, Grid
 from gridfill.functions.mercator import lat_to_y, lon_to_x, x_to_lon, y_to_lat
-from gridfill.functions.shapes import polygon_area, polygon_centroid, slug
+from gridfill.functions.shapes import polygon_moments, slug
 from gridfill.operators import cells as C
 from gridfill.operators import coverage, density, joins, regression, report, zonal
 from gridfill.plans import coverage_model as plans
@@ -20,7 +20,7 @@ from gridfill.sources import features as feats
 from gridfill.sources import layers, pixels, zones
 
 GRID = Grid()
-FINE, COARSE, LABELED = GRID, GRID.with_px(16), GRID.with_px(4)
+FINE, QUARTER, COARSE, LABELED = GRID, GRID.with_px(64), GRID.with_px(16), GRID.with_px(4)
 
 REPORT_DIGITS = {"index": 6, "pop_sum": 2, "osm_sum": 2, "osm_avg": 2, "prediction_sum": 2, "prediction_avg": 2}
 MODEL_DIGITS = {"coefficient": 9, "rmse": 4, "r2": 6}
@@ -94,7 +94,7 @@ def normalize_nodata(spark, sf):
 def drop_nodata_tiles(spark, sf):
     grid = Grid(15, 2)
     cells = joins.pop_with_footprint(_pop(spark, sf, grid), coverage.footprint_grid(_buildings(spark, sf), grid))
-    return rounded(C.drop_nodata_tiles(cells, "osm"), pop=2, osm=2)
+    return rounded(C.drop_nodata_tiles(cells, "osm"), pop=2, osm=1)
 
 
 def layer_metadata(spark, sf):
@@ -102,7 +102,7 @@ def layer_metadata(spark, sf):
 
 
 def tile_lookup(spark, sf):
-    areas = _masks(spark, sf).select(*polygon_centroid("rings")).toDF("x", "y")
+    areas = _masks(spark, sf).select(polygon_moments("rings").alias("m")).select("m.x", "m.y")
     keys = areas.select(GRID.tile_col(F.col("x")).alias("tile_col"), GRID.tile_row(F.col("y")).alias("tile_row"))
     return feats.tile_lookup(fixtures.vector_tiles(spark, sf), keys).select(*TILE_KEY, "building_id", "geom_type")
 
@@ -244,10 +244,10 @@ def cell_center(spark, sf):
 
 
 def polygon_measures(spark, sf):
-    cx, cy = polygon_centroid("rings")
-    measured = fixtures.features(spark, sf).select("building_id", cx.alias("cx"), cy.alias("cy"), polygon_area("rings").alias("area"))
+    moments = fixtures.features(spark, sf).select("building_id", polygon_moments("rings").alias("m"))
+    measured = moments.selectExpr("building_id", "m.x AS cx", "m.y AS cy", "m.area AS area")
     extent = GRID.tile_extent(GRID.tile_col(F.col("cx")), GRID.tile_row(F.col("cy")))
-    distance = F.hypot(F.col("cx") - extent["xmin"], F.col("cy") - extent["ymax"])
+    distance = F.hypot(F.col("cx") - extent["xmin"], F.col("cy") - extent["ymin"])
     return rounded(measured.withColumn("to_corner", distance), cx=3, cy=3, area=2, to_corner=3)
 
 
@@ -343,8 +343,8 @@ def tile_stats(spark, sf):
 
 
 def zonal_building_area(spark, sf):
-    footprint = coverage.footprint_grid(_buildings(spark, sf), FINE)
-    return rounded(zonal.zonal_building_area(footprint, _zones(spark, sf), FINE), area_m2=2)
+    footprint = coverage.footprint_grid(_buildings(spark, sf), QUARTER)
+    return rounded(zonal.zonal_building_area(footprint, _zones(spark, sf), QUARTER), area_m2=2)
 
 
 def cell_histogram(spark, sf):
@@ -368,9 +368,9 @@ def fit_quality(spark, sf):
 
 
 def fit_per_country(spark, sf):
-    cells = joins.pop_with_footprint(_pop(spark, sf, FINE.with_px(64)), coverage.footprint_grid(_buildings(spark, sf), FINE.with_px(64)))
-    spans = coverage.zone_spans(_zones(spark, sf), FINE.with_px(64))
-    return rounded(regression.fit_per_country(cells, spans, FINE.with_px(64), 4), **MODEL_DIGITS)
+    cells = joins.pop_with_footprint(_pop(spark, sf, QUARTER), coverage.footprint_grid(_buildings(spark, sf), QUARTER))
+    spans = coverage.zone_spans(_zones(spark, sf), QUARTER)
+    return rounded(regression.fit_per_country(cells, spans, QUARTER, 4), **MODEL_DIGITS)
 
 
 def completeness_index(spark, sf):

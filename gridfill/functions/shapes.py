@@ -41,23 +41,19 @@ def _area_sql(rings: str) -> str:
     return _outer_minus_holes(rings, lambda r: f"abs({signed_area_sql(r)})")
 
 
-def polygon_area(rings: str = "rings") -> Column:
-    """Planar area: the outer ring less its holes, whatever way the rings turn."""
-    return F.expr(_area_sql(rings))
-
-
-def polygon_centroid(rings: str = "rings") -> tuple[Column, Column]:
-    """Area centroid of a polygon with holes; NULL without area."""
-
-    def coordinate(axis: str) -> Column:
-        def moment(r: str) -> str:
-            about_first = _edge_sum(r, f"(e.a.{axis} - o.{axis} + e.b.{axis} - o.{axis}) * {_CROSS} / 6")
-            area = signed_area_sql(r)
-            return f"(signum({area}) * {about_first} + abs({area}) * get({r}, 0).{axis})"
-
-        return F.expr(f"try_divide({_outer_minus_holes(rings, moment)}, {_area_sql(rings)})")
-
-    return coordinate("x"), coordinate("y")
+def polygon_moments(rings: str = "rings") -> Column:
+    """``STRUCT<area, x, y>``: planar area and area centroid of a polygon with holes, in one pass over its
+    vertices. The centroid is NULL without area."""
+    zero = "named_struct('a', 0D, 'x', 0D, 'y', 0D)"
+    along = {axis: f"(e.a.{axis} - o.{axis} + e.b.{axis} - o.{axis}) * {_CROSS} / 6" for axis in "xy"}
+    step = f"named_struct('a', acc.a + {_CROSS} / 2, 'x', acc.x + {along['x']}, 'y', acc.y + {along['y']})"
+    about_first = f"aggregate({segments_sql('r')}, {zero}, (acc, e) -> {step.replace('o.', 'get(r, 0).')})"
+    per_ring = f"transform({rings}, (r, i) -> named_struct('m', {about_first}, 'first', get(r, 0), 'part', IF(i = 0, 1, -1)))"
+    turn = "signum(p.m.a) * p.part"
+    shifted = {axis: f"acc.{axis} + {turn} * (p.m.{axis} + p.m.a * p.first.{axis})" for axis in "xy"}
+    add = f"named_struct('a', acc.a + {turn} * p.m.a, 'x', {shifted['x']}, 'y', {shifted['y']})"
+    done = "named_struct('area', s.a, 'x', try_divide(s.x, s.a), 'y', try_divide(s.y, s.a))"
+    return F.expr(f"aggregate({per_ring}, {zero}, (acc, p) -> {add}, s -> {done})")
 
 
 def _side(s: str, p: str) -> str:

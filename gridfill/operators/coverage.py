@@ -97,7 +97,7 @@ def outline_pieces(edges: DataFrame, grid: Grid, keep: Sequence[str] = (), clip:
     grow, share = "r", "below"
     if clip:
         grow = f"least(greatest(r, tile_row * {px}), tile_row * {px} + {px})"
-        share = f"IF(r = {grow}, below, 1D)"
+        share = f"IF(r BETWEEN tile_row * {px} AND tile_row * {px} + {px - 1}, below, 1D)"
     return cells.selectExpr(
         *keep, "gcol", f"{grow} AS grow", f"sign * width * {share} AS area", f"bigint(sign * width * {scale}D) AS cover")
 

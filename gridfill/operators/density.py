@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridfill.functions.grid import CELL_KEY, TILE_KEY, Grid
-from gridfill.functions.shapes import polygon_area, polygon_centroid
+from gridfill.functions.shapes import polygon_moments
+from gridfill.sources.scratch import checkpointed
 
 SPLIT = 4  # squares per side a square is split into
 SQUARE_POINTS = 64  # squares holding more buildings than this are split
@@ -27,9 +28,9 @@ SQUARE = [*TILE_KEY, "depth", "sx", "sy"]
 
 def building_points(buildings: DataFrame, grid: Grid, key: str = "building_id") -> DataFrame:
     """Centroid and weight (levels x planar area) of each building, placed from its tile's north-west corner."""
-    x, y = polygon_centroid("rings")
-    weight = F.col("levels") * polygon_area("rings")
-    points = buildings.where(F.col("levels").isNotNull()).select(key, x.alias("x"), y.alias("y"), weight.alias("weight"))
+    known = buildings.where(F.col("levels").isNotNull())
+    points = known.select(key, "levels", polygon_moments("rings").alias("m")).selectExpr(
+        key, "m.x", "m.y", "levels * m.area AS weight")
     placed = points.select(key, "weight", "x", "y", grid.tile_col(F.col("x")).alias("tile_col"),
                            grid.tile_row(F.col("y")).alias("tile_row"))
     extent = grid.tile_extent(F.col("tile_col"), F.col("tile_row"))
@@ -80,6 +81,7 @@ def knn_density_join(points: DataFrame, grid: Grid, k: int = 25, key: str = "bui
     # of buildings at one spot only the first k can be among the nearest
     spot = Window.partitionBy(*TILE_KEY, "east", "south").orderBy(key)
     points = points.withColumn("_at_spot", F.row_number().over(spot)).where(F.col("_at_spot") <= k).drop("_at_spot")
+    points = checkpointed(points)  # read for the squares of every depth and for the final ranking
 
     def squares_to(limit: int) -> DataFrame:
         return _in_squares(points, grid, limit).groupBy(*SQUARE).agg(F.count(F.lit(1)).alias("n"))
