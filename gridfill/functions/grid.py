@@ -60,9 +60,9 @@ class Grid:
     def tile_row(self, y: Column) -> Column:
         return _index((F.lit(WORLD_HALF_WIDTH) - y) / F.lit(self.tile_size))
 
-    def cell_key(self, x: Column, y: Column) -> list[Column]:
-        """The four CELL_KEY columns of the cell holding a point."""
-        return self.split(_index(self.u(x)), _index(self.v(y)))
+    def cell_index(self, x: Column, y: Column) -> tuple[Column, Column]:
+        """World-wide index of the cell holding a point."""
+        return _index(self.u(x)), _index(self.v(y))
 
     # -- cell addresses -------------------------------------------------------------------------
     def split(self, gcol: Column, grow: Column) -> list[Column]:

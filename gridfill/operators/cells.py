@@ -19,8 +19,9 @@ def pop_grid(pixels: DataFrame, grid: Grid = Grid(), column: str = "pop") -> Dat
     one and down-sampling would, so ask for the grid that is needed.
     """
     data = normalize_nodata(pixels).where(F.col("value").isNotNull())
-    key = grid.cell_key(lon_to_x(F.col("lon")), lat_to_y(F.col("lat")))
-    return data.groupBy(*key).agg(F.sum("value").alias(column))
+    gcol, grow = grid.cell_index(lon_to_x(F.col("lon")), lat_to_y(F.col("lat")))
+    sums = data.groupBy(gcol.alias("gcol"), grow.alias("grow")).agg(F.sum("value").alias(column))
+    return sums.select(*grid.split(F.col("gcol"), F.col("grow")), column)
 
 
 def resample(cells: DataFrame, grid: Grid, px: int, bands: Sequence[str], extra_keys: Sequence[str] = (),
