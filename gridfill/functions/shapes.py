@@ -17,19 +17,22 @@ def segments_sql(ring: str) -> str:
     return f"zip_with(slice({ring}, 1, {n}), slice({ring}, 2, {n}), (a, b) -> named_struct('a', a, 'b', b))"
 
 
-def _edge_sum(ring: str, term: str) -> str:
-    """Sum of ``term`` over the edges ``e``, with ``o`` the ring's first vertex: differences to it keep digits."""
-    first = f"get({ring}, 0)"
-    term = term.replace("o.", f"{first}.")
-    return f"aggregate({segments_sql(ring)}, 0D, (acc, e) -> acc + {term})"
+# twice the area between the edge p-q and the ring's first vertex o: differences to it keep digits
+_CROSS = "((acc.p.x - o.x) * (q.y - o.y) - (q.x - o.x) * (acc.p.y - o.y))"
 
 
-_CROSS = "((e.a.x - o.x) * (e.b.y - o.y) - (e.b.x - o.x) * (e.a.y - o.y))"
+def _fold_edges(ring: str, sums: dict[str, str], result: str) -> str:
+    """Sums over the edges of a ring, in one walk along its vertices: ``acc.p`` is the one before ``q``."""
+    zero = ", ".join(f"'{name}', 0D" for name in sums)
+    step = ", ".join(f"'{name}', acc.{name} + {term}" for name, term in sums.items())
+    step = step.replace("o.", f"get({ring}, 0).")
+    return (f"aggregate({ring}, named_struct('p', get({ring}, 0), {zero}), (acc, q) -> named_struct('p', q, {step}), "
+            f"sums -> {result})")
 
 
 def signed_area_sql(ring: str) -> str:
-    """Shoelace area, counter-clockwise positive."""
-    return _edge_sum(ring, f"{_CROSS} / 2")
+    """Shoelace area of a closed ring, counter-clockwise positive."""
+    return _fold_edges(ring, {"a": f"{_CROSS} / 2"}, "sums.a")
 
 
 def _outer_minus_holes(rings: str, of_ring) -> str:
@@ -45,9 +48,8 @@ def polygon_moments(rings: str = "rings") -> Column:
     """``STRUCT<area, x, y>``: planar area and area centroid of a polygon with holes, in one pass over its
     vertices. The centroid is NULL without area."""
     zero = "named_struct('a', 0D, 'x', 0D, 'y', 0D)"
-    along = {axis: f"(e.a.{axis} - o.{axis} + e.b.{axis} - o.{axis}) * {_CROSS} / 6" for axis in "xy"}
-    step = f"named_struct('a', acc.a + {_CROSS} / 2, 'x', acc.x + {along['x']}, 'y', acc.y + {along['y']})"
-    about_first = f"aggregate({segments_sql('r')}, {zero}, (acc, e) -> {step.replace('o.', 'get(r, 0).')})"
+    along = {axis: f"(acc.p.{axis} - o.{axis} + q.{axis} - o.{axis}) * {_CROSS} / 6" for axis in "xy"}
+    about_first = _fold_edges("r", {"a": f"{_CROSS} / 2", **along}, "sums")
     per_ring = f"transform({rings}, (r, i) -> named_struct('m', {about_first}, 'first', get(r, 0), 'part', IF(i = 0, 1, -1)))"
     turn = "signum(p.m.a) * p.part"
     shifted = {axis: f"acc.{axis} + {turn} * (p.m.{axis} + p.m.a * p.first.{axis})" for axis in "xy"}
@@ -56,17 +58,12 @@ def polygon_moments(rings: str = "rings") -> Column:
     return F.expr(f"aggregate({per_ring}, {zero}, (acc, p) -> {add}, s -> {done})")
 
 
-def _side(s: str, p: str) -> str:
-    return f"signum(({s}.b.x - {s}.a.x) * ({p}.y - {s}.a.y) - ({s}.b.y - {s}.a.y) * ({p}.x - {s}.a.x))"
+def _cross_sql(a: str, b: str, c: str, d: str) -> str:
+    """Whether the segments a-b and c-d meet in a single point inside both."""
+    def side(s: str, t: str, p: str) -> str:
+        return f"(({t}.x - {s}.x) * ({p}.y - {s}.y) - ({t}.y - {s}.y) * ({p}.x - {s}.x))"
 
-
-# two segments s and t meet in a single point inside both, t not being the successor of s
-_CROSSING = (f"t.i > s.i + 1 AND {_side('s', 't.a')} * {_side('s', 't.b')} < 0"
-             f" AND {_side('t', 's.a')} * {_side('t', 's.b')} < 0")
-
-
-def _any_cross(some: str, others: str) -> str:
-    return f"exists({some}, s -> exists({others}, t -> {_CROSSING}))"
+    return f"{side(a, b, c)} * {side(a, b, d)} < 0 AND {side(c, d, a)} * {side(c, d, b)} < 0"
 
 
 def crosses_itself_sql(ring: str) -> str:
@@ -81,10 +78,13 @@ def crosses_itself_sql(ring: str) -> str:
             f"transform(sequence(0, size(r.all) - 1, r.step), p -> "
             f"named_struct('p', p, 'edges', slice(r.all, p + 1, r.step), {bounds}))))")
     overlapping = "w.p >= v.p AND w.x0 <= v.x1 AND w.x1 >= v.x0 AND w.y0 <= v.y1 AND w.y1 >= v.y0"
-    in_runs = (f"exists(transform(array({runs}), q -> "
-               f"exists(q, v -> exists(q, w -> {overlapping} AND {_any_cross('v.edges', 'w.edges')}))), z -> z)")
-    short = f"exists(transform(array({segments}), q -> {_any_cross('q', 'q')}), z -> z)"
-    return f"CASE WHEN size({ring}) <= {SHORT_RING} THEN {short} ELSE {in_runs} END"
+    pair = f"t.i > s.i + 1 AND {_cross_sql('s.a', 's.b', 't.a', 't.b')}"
+    in_runs = (f"exists(transform(array({runs}), q -> exists(q, v -> exists(q, w -> {overlapping} AND "
+               f"exists(v.edges, s -> exists(w.edges, t -> {pair}))))), z -> z)")
+    c = ring
+    short = (f"exists(sequence(0, size({c}) - 4), i -> exists(sequence(i + 2, size({c}) - 2), j -> "
+             f"{_cross_sql(f'{c}[i]', f'{c}[i + 1]', f'{c}[j]', f'{c}[j + 1]')}))")
+    return f"CASE WHEN size({c}) < 5 THEN false WHEN size({c}) <= {SHORT_RING} THEN {short} ELSE {in_runs} END"
 
 
 def polygon_defect(rings: str = "rings") -> Column:

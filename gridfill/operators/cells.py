@@ -20,8 +20,9 @@ def pop_grid(pixels: DataFrame, grid: Grid = Grid(), column: str = "pop") -> Dat
     """
     data = normalize_nodata(pixels).where(F.col("value").isNotNull())
     gcol, grow = grid.cell_index(lon_to_x(F.col("lon")), lat_to_y(F.col("lat")))
-    sums = data.groupBy(gcol.alias("gcol"), grow.alias("grow")).agg(F.sum("value").alias(column))
-    return sums.select(*grid.split(F.col("gcol"), F.col("grow")), column)
+    placed = data.select(gcol.alias("gcol"), grow.alias("grow"), "value")
+    # grouped by the key layers are joined on, so that a join needs no second shuffle
+    return placed.groupBy(*grid.split(F.col("gcol"), F.col("grow"))).agg(F.sum("value").alias(column))
 
 
 def resample(cells: DataFrame, grid: Grid, px: int, bands: Sequence[str], extra_keys: Sequence[str] = (),

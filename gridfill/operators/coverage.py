@@ -27,6 +27,7 @@ from gridfill.functions.albers import cell_area_m2
 from gridfill.functions.grid import CELL_KEY, TILE_KEY, Grid, snap_bits
 from gridfill.functions.mercator import WORLD_HALF_WIDTH
 from gridfill.functions.shapes import segments_sql, signed_area_sql
+from gridfill.functions.spread import spread
 
 # A cell counts as covered from this share of a 256-px cell on; on other grids the same area is asked for.
 TOUCH_SHARE = 1e-9
@@ -103,16 +104,19 @@ def outline_pieces(edges: DataFrame, grid: Grid, keep: Sequence[str] = (), clip:
 
 
 def outline_cells(polygons: DataFrame, grid: Grid, keys: Sequence[str] = (), weight: str | None = None,
-                  clip: bool = False, spread: bool = False) -> DataFrame:
+                  clip: bool = False, long_outlines: bool = False) -> DataFrame:
     """Edge bookings summed per cell: ``*keys, gcol, grow, area, cover[, w_area, w_cover]``.
 
-    ``spread`` shuffles the edges first; it pays for few polygons with long outlines (zones, masks), which
-    otherwise are all cut up by the task that read them.
+    ``long_outlines`` is for zones and masks, whose few rows make very many pieces: equal edges are merged first
+    (copies of a polygon, shared borders) and the rest spread over all tasks, instead of being cut up by the
+    task that read them.
     """
     keep = list(dict.fromkeys([*keys, *([weight] if weight else []), *(TILE_KEY if clip else [])]))
     edges = outline_edges(polygons, grid, keep)
-    if spread:
-        edges = edges.repartition("u0", "v0", "u1", "v1")
+    if long_outlines:
+        ends = ["u0", "v0", "u1", "v1"]
+        merged = edges.groupBy(*keep, *ends).agg(F.sum("sign").alias("sign")).where("sign <> 0")
+        edges = spread(merged, *ends)
     pieces = outline_pieces(edges, grid, keep, clip)
     sums = [F.sum("area").alias("area"), F.sum("cover").alias("cover")]
     if weight:
@@ -176,7 +180,7 @@ def mask_cells(cells: DataFrame, masks: DataFrame | None, grid: Grid) -> DataFra
     """
     if masks is None:
         return cells
-    outline = outline_cells(masks, grid, spread=True)
+    outline = outline_cells(masks, grid, long_outlines=True)
     scale, px = 1 << snap_bits(grid), grid.px
     down = "(PARTITION BY _gcol ORDER BY _grow RANGE BETWEEN"
     marked = cells.selectExpr("*", f"tile_col * {px} + cell_col AS _gcol", f"tile_row * {px} + cell_row AS _grow", "true AS _is_cell")
@@ -189,12 +193,22 @@ def mask_cells(cells: DataFrame, masks: DataFrame | None, grid: Grid) -> DataFra
 
 def zone_cells(zones: DataFrame, grid: Grid, key: str = "code") -> DataFrame:
     """Cells of every zone, partial ones included: ``CELL_KEY, key, fraction``."""
-    return span_cells(zone_spans(zones, grid, key), grid)
+    strips = tile_strips(zone_spans(zones, grid, key), grid)
+    return span_cells(spread(strips, key, "gcol", "tile_row").drop("tile_row"), grid)
+
+
+def tile_strips(spans: DataFrame, grid: Grid) -> DataFrame:
+    """Spans cut at tile borders, with their ``tile_row``."""
+    px = grid.px
+    rest = [c for c in spans.columns if c not in ("row_from", "row_to")]
+    cut = spans.selectExpr("*", f"explode(sequence(row_from div {px}, row_to div {px}, 1L)) AS tile_row")
+    return cut.selectExpr(*rest, "tile_row", f"greatest(row_from, tile_row * {px}) AS row_from",
+                          f"least(row_to, tile_row * {px} + {px - 1}) AS row_to")
 
 
 def zone_spans(zones: DataFrame, grid: Grid, key: str = "code") -> DataFrame:
     """As ``zone_cells``, as runs of rows in a column: what zones are stored and joined as."""
-    return coverage_spans(outline_cells(zones, grid, [key], spread=True), grid, [key])
+    return coverage_spans(outline_cells(zones, grid, [key], long_outlines=True), grid, [key])
 
 
 def cells_by_zone(cells: DataFrame, spans: DataFrame, grid: Grid, key: str = "code") -> DataFrame:
@@ -202,12 +216,7 @@ def cells_by_zone(cells: DataFrame, spans: DataFrame, grid: Grid, key: str = "co
 
     Spans are cut at tile rows, so cells and spans meet on (column of cells, tile row): at most ``px`` cells.
     """
-    px = F.lit(grid.px).cast("bigint")
-    strips = spans.select(
-        key, "gcol", "row_from", "row_to",
-        F.explode(F.sequence(F.floor(F.col("row_from") / px).cast("bigint"),
-                             F.floor(F.col("row_to") / px).cast("bigint"), F.lit(1).cast("bigint"))).alias("tile_row"))
-    strips = strips.select(key, F.col("gcol").alias("_gcol"), F.col("tile_row"), "row_from", "row_to")
+    strips = tile_strips(spans, grid).selectExpr(key, "gcol AS _gcol", "tile_row", "row_from", "row_to")
     marked = cells.select("*", grid.gcol().alias("_gcol"), grid.grow().alias("_grow"))
     joined = marked.join(strips, ["_gcol", "tile_row"]).where(F.col("_grow").between(F.col("row_from"), F.col("row_to")))
     return joined.select(key, *cells.columns)

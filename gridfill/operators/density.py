@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from gridfill.functions.grid import CELL_KEY, TILE_KEY, Grid
 from gridfill.functions.shapes import polygon_moments
+from gridfill.functions.spread import spread
 from gridfill.sources.scratch import checkpointed
 
 SPLIT = 4  # squares per side a square is split into
@@ -96,7 +97,8 @@ def knn_density_join(points: DataFrame, grid: Grid, k: int = 25, key: str = "bui
         single.selectExpr(*SQUARE, "sx AS to_sx", "sy AS to_sy", "n AS to_n", "depth AS to_depth"))
 
     along = f"explode(sequence(0L, {grid.px - 1}L))"
-    cells = squares.where("depth = 0").selectExpr(*SQUARE, "n", f"{along} AS cell_col").selectExpr("*", f"{along} AS cell_row")
+    columns = squares.where("depth = 0").selectExpr(*SQUARE, "n", f"{along} AS cell_col")
+    cells = spread(columns, *TILE_KEY, "cell_col").selectExpr("*", f"{along} AS cell_row")
     frontier = cells.selectExpr(
         *CELL_KEY, f"(cell_col + 0.5D) * {grid.cell_size!r}D AS east", f"(cell_row + 0.5D) * {grid.cell_size!r}D AS south",
         "depth", "sx", "sy", "n")

@@ -19,23 +19,26 @@ LABELED_PX = 4
 
 
 def analysis_cells(pixels: DataFrame, features: DataFrame, px: int, grid: Grid = Grid(), masks: DataFrame | None = None,
-                   mask_both: bool = False, clip_to_tile: bool = False, layer: str | None = None) -> DataFrame:
+                   mask_both: bool = False, clip_zone: DataFrame | None = None, clip_to_tile: bool = False,
+                   layer: str | None = None) -> DataFrame:
     """Population cells with their footprint, ``px`` per tile side.
 
-    Sums compose, so without masks both sides are summed straight onto the analysis grid and the working grid
-    never exists. Masks cut population on the working grid; with ``mask_both`` they cut footprints too.
+    Sums compose, so what is not masked is summed straight onto the analysis grid and never exists on the
+    working grid. ``masks`` cut population on the working grid, with ``mask_both`` footprints too; ``clip_zone``
+    always cuts both.
     """
-    coarse = grid.with_px(px)
-    if masks is None:
-        pop = pop_grid(pixels, coarse)
-    else:
-        pop = resample(mask_cells(pop_grid(pixels, grid), masks, grid), grid, px, ["pop"])
+    def cut(areas: list[DataFrame | None], on_grid) -> DataFrame:
+        if all(a is None for a in areas):
+            return on_grid(grid.with_px(px))
+        cells = on_grid(grid)
+        for area in areas:
+            cells = mask_cells(cells, area, grid)
+        band = cells.columns[-1]
+        return resample(cells, grid, px, [band])
+
     buildings = building_polygons(features, layer)
-    if masks is not None and mask_both:
-        fine = mask_cells(footprint_grid(buildings, grid, clip_to_tile=clip_to_tile), masks, grid)
-        footprint = resample(fine, grid, px, ["osm"])
-    else:
-        footprint = footprint_grid(buildings, coarse, clip_to_tile=clip_to_tile)
+    pop = cut([clip_zone, masks], lambda g: pop_grid(pixels, g))
+    footprint = cut([clip_zone, masks if mask_both else None], lambda g: footprint_grid(buildings, g, clip_to_tile=clip_to_tile))
     return pop_with_footprint(pop, footprint)
 
 

@@ -102,3 +102,11 @@ def test_masked_training_can_leave_buildings_out_too(spark):
     loose, strict = (plans.analysis_cells(pixels, buildings, 4, masks=masks, mask_both=m).agg(F.sum("pop"), F.sum("osm")).first() for m in (False, True))
     assert loose[0] == strict[0] and (strict[1] or 0) <= (loose[1] or 0)
     assert features.building_polygons(buildings).count() > 0
+
+
+def test_clipping_to_a_zone(spark):
+    zone = zones.zones_to_mercator(zones.require_country(fixtures.zones(spark, SF), "nation_12"))
+    pixels, buildings = fixtures.pixels(spark, SF), fixtures.features(spark, SF)
+    inside = pixels.where("lon > 25.9 AND lon < 26.1 AND lat > -24.6 AND lat < -24.4").agg(F.sum("value")).first()[0]
+    clipped, whole = (plans.analysis_cells(pixels, buildings, 4, clip_zone=z).agg(F.sum("pop"), F.count("pop")).first() for z in (zone, None))
+    assert inside * (1 - 1e-9) <= clipped[0] < 1.1 * inside and clipped[1] < whole[1]
