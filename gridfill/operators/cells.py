@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridfill.functions.grid import CELL_KEY, TILE_KEY, Grid
 from gridfill.functions.mercator import lat_to_y, lon_to_x
-from gridfill.sources.pixels import normalize_nodata
+from gridfill.sources.pixels import data_pixels
 
 
 def pop_grid(pixels: DataFrame, grid: Grid = Grid(), column: str = "pop") -> DataFrame:
@@ -18,7 +18,7 @@ def pop_grid(pixels: DataFrame, grid: Grid = Grid(), column: str = "pop") -> Dat
     One shuffle of partly summed cells. Summing straight onto a coarse grid gives what summing onto a fine
     one and down-sampling would, so ask for the grid that is needed.
     """
-    data = normalize_nodata(pixels).where(F.col("value").isNotNull())
+    data = data_pixels(pixels)
     gcol, grow = grid.cell_index(lon_to_x(F.col("lon")), lat_to_y(F.col("lat")))
     placed = data.select(gcol.alias("gcol"), grow.alias("grow"), "value")
     # grouped by the key layers are joined on, so that a join needs no second shuffle

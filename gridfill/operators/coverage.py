@@ -116,7 +116,7 @@ def outline_cells(polygons: DataFrame, grid: Grid, keys: Sequence[str] = (), wei
     if long_outlines:
         ends = ["u0", "v0", "u1", "v1"]
         merged = edges.groupBy(*keep, *ends).agg(F.sum("sign").alias("sign")).where("sign <> 0")
-        edges = spread(merged, *ends)
+        edges = spread(merged, "u0", "v0")  # by other columns than the sums: an equal shuffle would be dropped
     pieces = outline_pieces(edges, grid, keep, clip)
     sums = [F.sum("area").alias("area"), F.sum("cover").alias("cover")]
     if weight:

@@ -25,6 +25,11 @@ def normalize_nodata(df: DataFrame, column: str = "value", sentinel: float | Non
     return df.withColumn(column, _data_value(F.col(column).cast("double"), sentinel))
 
 
+def data_pixels(pixels: DataFrame) -> DataFrame:
+    """Pixels with data, as a filter the scan can use."""
+    return pixels.where(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
 def raster_tiles(pixels: DataFrame, grid: DegreeGrid = DegreeGrid()) -> DataFrame:
     """Tiles of the source layout holding data: ``tile_col, tile_row, n_pixels, n_data, value_sum``."""
     col, row = grid.pixel(F.col("lon"), F.col("lat"))
@@ -44,8 +49,7 @@ def raster_halo_tiles(pixels: DataFrame, grid: DegreeGrid = DegreeGrid(), halo:
     tiles by arithmetic.
     """
     col, row = grid.pixel(F.col("lon"), F.col("lat"))
-    placed = normalize_nodata(pixels).where(F.col("value").isNotNull()).select(
-        col.alias("_c"), row.alias("_r"), "value")
+    placed = data_pixels(pixels).select(col.alias("_c"), row.alias("_r"), "value")
 
     def reach(pixel: str) -> Column:
         return F.sequence(grid.tile(F.col(pixel) - halo), grid.tile(F.col(pixel) + halo), F.lit(1).cast("bigint"))
