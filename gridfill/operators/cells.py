@@ -11,6 +11,9 @@ from gridfill.functions.grid import CELL_KEY, TILE_KEY, Grid
 from gridfill.functions.mercator import lat_to_y, lon_to_x
 from gridfill.sources.pixels import data_pixels
 
+# Zoom levels of a pyramid summed from one shuffle.
+BLOCK_LEVELS = 4
+
 
 def pop_grid(pixels: DataFrame, grid: Grid = Grid(), column: str = "pop") -> DataFrame:
     """Population pixels on the working grid: each pixel counts in full for the cell holding its centre.
@@ -54,14 +57,22 @@ def coarser_level(cells: DataFrame, grid: Grid, bands: Sequence[str], extra_keys
 def pyramid_sum(cells: DataFrame, grid: Grid, bands: Sequence[str], min_zoom: int = 0) -> DataFrame:
     """All levels from the layer's own zoom to ``min_zoom``, under an added ``zoom``.
 
-    Levels feed each other; their shuffles are shared, so each is a quarter of the one before. For large
-    layers ``write_pyramid`` stores them one by one.
+    Cells are shuffled once per BLOCK_LEVELS levels, by the coarsest cell of these levels that holds them; at
+    most 4**BLOCK_LEVELS cells share one. The levels in between group within that partitioning.
     """
-    level = cells.select(*CELL_KEY, *bands)
-    levels = level.select(F.lit(grid.zoom).alias("zoom"), "*")
-    for zoom in range(grid.zoom, min_zoom, -1):
-        level = coarser_level(level, Grid(zoom, grid.px), bands)
-        levels = levels.unionByName(level.select(F.lit(zoom - 1).alias("zoom"), "*"))
+    def level(zoom: int, summed: DataFrame) -> DataFrame:
+        return summed.select(F.lit(zoom).alias("zoom"), *grid.split(F.col("gcol"), F.col("grow")), *bands)
+
+    base = cells.select(grid.gcol().alias("gcol"), grid.grow().alias("grow"), *bands)
+    levels = level(grid.zoom, base)
+    for start in range(grid.zoom, min_zoom, -BLOCK_LEVELS):
+        steps = min(BLOCK_LEVELS, start - min_zoom)
+        block = [f"{c} div {1 << steps} AS block_{c}" for c in ("gcol", "grow")]
+        blocked = base.selectExpr("*", *block).repartition("block_gcol", "block_grow")
+        for step in range(1, steps + 1):
+            up = [F.expr(f"{c} div {1 << step}").alias(c) for c in ("gcol", "grow")]
+            base = blocked.groupBy("block_gcol", "block_grow", *up).agg(*[F.sum(b).alias(b) for b in bands]).drop("block_gcol", "block_grow")
+            levels = levels.unionByName(level(start - step, base))
     return levels
 
 
