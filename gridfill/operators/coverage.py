@@ -46,7 +46,7 @@ def outline_edges(polygons: DataFrame, grid: Grid, keep: Sequence[str] = ()) ->
     kept = ", ".join([*keep, ""])
 
     def u(x: str) -> str:
-        return f"round(({x} + {WORLD_HALF_WIDTH}D) / {grid.cell_size!r}D * {scale}D) / {scale}D"
+        return f"rint(({x} + {WORLD_HALF_WIDTH}D) / {grid.cell_size!r}D * {scale}D) / {scale}D"
 
     def v(y: str) -> str:
         return f"({WORLD_HALF_WIDTH}D - {y}) / {grid.cell_size!r}D"
@@ -88,7 +88,7 @@ def outline_pieces(edges: DataFrame, grid: Grid, keep: Sequence[str] = (), clip:
 
     def crossing(row: str) -> str:
         part = f"({row} - top) / nullif(bottom - top, 0D)"
-        return f"round((u_top + (u_bottom - u_top) * {part}) * {scale}D) / {scale}D"
+        return f"rint((u_top + (u_bottom - u_top) * {part}) * {scale}D) / {scale}D"
 
     start = f"IF(r <= top, u_top, {crossing('r')})"
     end = f"IF(r + 1 >= bottom, u_bottom, {crossing('(r + 1)')})"

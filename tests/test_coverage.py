@@ -83,7 +83,7 @@ def test_copies_cancel_exactly_south_of_the_polygon(spark):
     # many copies of one building straddling a row border: nothing may leak into cells further south
     ring = [(X + 3.3, Y - C + 7.7), (X + 9.1, Y - C - 6.1), (X + 1.7, Y - C - 5.3)]
     one = polygons(spark, [(1, 3.7, [ring])])
-    many = one.crossJoin(spark.range(200000)).drop("id")
+    many = one.selectExpr("*", "explode(sequence(1, 200000)) AS copy")
     got = {tuple(r[k] for k in CELL_KEY): r.osm for r in coverage.footprint_grid(many, GRID).collect()}
     single = {tuple(r[k] for k in CELL_KEY): r.osm for r in coverage.footprint_grid(one, GRID).collect()}
     assert got.keys() == single.keys() and len(got) == 2
@@ -95,7 +95,7 @@ def test_clipping_to_tiles_splits_a_building(spark):
     tx, ty = corner(2343 * 256, 2333 * 256)
     ring = [(tx - 90, ty - 70), (tx + 110, ty - 130), (tx + 60, ty + 140), (tx - 30, ty + 100)]
     whole = polygons(spark, [(1, 1.0, [ring])])
-    filed = whole.crossJoin(spark.createDataFrame([(c, r) for c in (2342, 2343) for r in (2332, 2333)], "tile_col long, tile_row long"))
+    filed = whole.selectExpr("*", "explode(array(2342L, 2343L)) AS tile_col").selectExpr("*", "explode(array(2332L, 2333L)) AS tile_row")
 
     def collected(df):
         return {tuple(r[k] for k in CELL_KEY): r.osm for r in df.collect()}
@@ -120,6 +120,8 @@ def test_mask_keeps_touched_cells_and_is_idempotent(spark):
     assert got == {(c, r): v for c, r, v in data if (c, r) in touched}
     assert coverage.mask_cells(kept, areas, GRID).count() == len(got)
     assert coverage.mask_cells(cells, None, GRID) is cells
+    copies = areas.selectExpr("*", "explode(sequence(1, IF(building_id = 99, 50000, 1))) AS copy")
+    assert coverage.mask_cells(cells, copies, GRID).count() == len(got)  # one hot mask changes nothing
 
 
 def test_zone_cells_count_once_and_zones_may_overlap(spark):
