@@ -119,3 +119,54 @@ def components(edges: DataFrame) -> DataFrame:
         if new.where("component <> old").isEmpty():
             return new.select("node", "component")
         labels = new.select("node", "component")
+
+
+def map_groups(df: DataFrame, keys: list[str], function: Callable[[pa.RecordBatch, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
+    """``function(rows, bounds)`` over rows dealt and sorted by ``keys`` (integer columns without nulls).
+
+    Each call gets whole groups only: group ``i`` is ``rows[bounds[i]:bounds[i + 1]]``. Memory holds one batch and one
+    group, so callers bound their groups.
+    """
+    spark = df.sparkSession
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+    at = [df.columns.index(k) for k in keys]
+
+    def bounds(rows: pa.RecordBatch) -> np.ndarray:
+        new = np.zeros(rows.num_rows, bool)
+        new[:1] = True
+        for i in at:
+            column = rows.column(i).to_numpy(zero_copy_only=False)
+            new[1:] |= column[1:] != column[:-1]
+        return np.append(np.flatnonzero(new), rows.num_rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if open_ and all(open_[-1].column(i)[-1].as_py() == batch.column(i)[0].as_py() == batch.column(i)[-1].as_py() for i in at):
+                open_.append(batch)  # still the same group
+                continue
+            rows = pa.concat_batches([*open_, batch])
+            cut = bounds(rows)
+            if len(cut) > 2:
+                yield function(rows.slice(0, cut[-2]), cut[:-1])
+            open_ = [rows.slice(cut[-2])]
+        if open_:
+            rows = pa.concat_batches(open_)
+            yield function(rows, bounds(rows))
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def blocks_of(groups: DataFrame, keys: list[str], size: str, row: str, block: int) -> DataFrame:
+    """Rows of ``groups`` once for every pair of blocks that they stand in: ``_p`` <= ``_q``, and ``_own``, the row's block.
+
+    A group of ``size`` rows is dealt into ``size / block`` blocks by a hash of ``row``, so that any two rows of a group
+    meet in exactly one pair of blocks and no task sees much more than two blocks.
+    """
+    n = F.greatest(F.lit(1), F.ceil(F.col(size) / block)).cast("int")
+    dealt = groups.withColumn("_n", n).withColumn("_own", F.pmod(F.xxhash64(row), F.col("_n")).cast("int"))
+    met = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    return met.withColumns({"_p": F.least("_own", "_other"), "_q": F.greatest("_own", "_other")}).drop("_n", "_other")

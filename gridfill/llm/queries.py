@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridfill.llm import decontaminate, line_dedup, secret_scan, url_rules
+from gridfill.llm import decontaminate, embedding_dedup, line_dedup, near_dedup, packing, secret_scan, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their groups at similarity 0.8 over pairs of words."""
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2)
+
+
 URL_RULES = """SELECT * FROM VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
     ('net', '/es/', 'block'), ('net', '/fr/', 'block') AS rules(host, path, action)"""
 
@@ -30,6 +35,11 @@ def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(pages, spark.sql(URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors with their links and groups at cosine 0.95."""
+    return embedding_dedup.link_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that stand on over a tenth of their source's pages."""
     documents = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -48,4 +58,17 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[of(k) for k in secret_scan.BASE], F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op6_url_rules, op8_line_dedup, op9_secret_scan)}
+def tokenizer_file() -> str:
+    """The word-wise tokenizer's file, where the package that brings it is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, packed into sequences of up to 2048 tokens."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(documents, tokenizer_file())
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_near_dedup, op6_url_rules, op7_embedding_dedup, op8_line_dedup, op9_secret_scan, op10_packing)}
