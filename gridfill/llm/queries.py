@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridfill.llm import decontaminate, embedding_dedup, line_dedup, near_dedup, packing, secret_scan, url_rules
+from gridfill.llm import decontaminate, embedding_dedup, line_dedup, near_dedup, packing, repeats, secret_scan, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2)
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without their repeated strings of 200 bytes."""
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+
+
 URL_RULES = """SELECT * FROM VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
     ('net', '/es/', 'block'), ('net', '/fr/', 'block') AS rules(host, path, action)"""
 
@@ -71,4 +76,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, tokenizer_file())
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_near_dedup, op6_url_rules, op7_embedding_dedup, op8_line_dedup, op9_secret_scan, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_near_dedup, op4_repeats, op6_url_rules, op7_embedding_dedup, op8_line_dedup, op9_secret_scan, op10_packing)}
