@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridfill.llm import decontaminate, embedding_dedup, line_dedup, near_dedup, packing, repeats, secret_scan, url_rules
+from gridfill.llm import decontaminate, embedding_dedup, line_dedup, near_dedup, packing, quality, quotes, repeats, secret_scan, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op2_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages in reply order without their quotations."""
+    return quotes.thread_conversations(_table(spark, sf_dir, "conversations"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their groups at similarity 0.8 over pairs of words."""
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2)
@@ -30,6 +35,14 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their chances of being low or toxic, and whether a filter keeps them."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(documents, quality.fit(documents, _table(spark, sf_dir, "labels"))).select("doc_id", "p_low", "p_toxic")
+    limit = quality.Settings().reject
+    return scored.withColumn("kept", (F.col("p_low") < limit) & (F.col("p_toxic") < limit))
+
+
 URL_RULES = """SELECT * FROM VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
     ('net', '/es/', 'block'), ('net', '/fr/', 'block') AS rules(host, path, action)"""
 
@@ -76,4 +89,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, tokenizer_file())
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_near_dedup, op4_repeats, op6_url_rules, op7_embedding_dedup, op8_line_dedup, op9_secret_scan, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quotes, op3_near_dedup, op4_repeats, op5_quality, op6_url_rules, op7_embedding_dedup, op8_line_dedup, op9_secret_scan, op10_packing)}
