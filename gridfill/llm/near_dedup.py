@@ -20,7 +20,7 @@ SKETCH_ERRORS = 4.5
 """Standard deviations that a pair's sketches may differ by beyond what its similarity suggests before it is left out."""
 
 PERCENT = 80
-BLOCK = 256
+BLOCK, SKETCH_BLOCK = 256, 1024
 CHUNK = 1_000_000
 CACHE = 500_000
 
@@ -119,12 +119,12 @@ def signatures(documents: DataFrame, shingle: int) -> DataFrame:
     return map_batches(documents.select("id", "text"), one, "id long, n long, f1 long, f2 long, sketch binary, bands array<long>")
 
 
-def _near(sketches: np.ndarray, n: np.ndarray, limit: int, percent: int) -> np.ndarray:
-    """Which pairs of a block may be similar: by their sketches, and by their sizes."""
+def _near(sketches: np.ndarray, n: np.ndarray, limit: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """How far the sketches of each pair of a block are apart, and which pairs may be similar by that and by their sizes."""
     apart = np.zeros((len(n), len(n)), np.uint16)
     for word in range(sketches.shape[1]):
         apart += np.bitwise_count(sketches[:, None, word] ^ sketches[None, :, word])
-    return (apart <= limit) & (100 * np.minimum.outer(n, n) >= percent * np.maximum.outer(n, n))
+    return apart, (apart <= limit) & (100 * np.minimum.outer(n, n) >= percent * np.maximum.outer(n, n))
 
 
 def _columns(rows: pa.RecordBatch, names: list[str]) -> list[np.ndarray]:
@@ -132,18 +132,21 @@ def _columns(rows: pa.RecordBatch, names: list[str]) -> list[np.ndarray]:
 
 
 def _candidate_blocks(rows: pa.RecordBatch, bounds: np.ndarray, limit: int, percent: int) -> pa.RecordBatch:
-    """A spanning forest of the candidates in every pair of blocks."""
+    """For each set of a pair of blocks that has candidates there: the least id that candidates lead to, and of candidates
+    with lower ids (if any) the one nearest by sketch."""
     ids, n = _columns(rows, ["id", "n"])
     sketches = np.frombuffer(b"".join(rows.column(rows.schema.names.index("sketch")).to_pylist()), np.uint64).reshape(rows.num_rows, -1)
-    a_out, b_out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    out = [[np.zeros(0, np.int64)] * 4]
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if b - a > 1:
-            order = a + np.argsort(ids[a:b])  # the least id is the root, in most blocks that hold it
-            root = least_root(_near(sketches[order], n[order], limit, percent))
+            order = a + np.argsort(ids[a:b])
+            apart, near = _near(sketches[order], n[order], limit, percent)
+            root = least_root(near)
             some = np.flatnonzero(root != np.arange(b - a))
-            a_out.append(ids[order[some]])
-            b_out.append(ids[order[root[some]]])
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a_out)), pa.array(np.concatenate(b_out))], names=["a", "b"])
+            lower = np.where(np.tril(near, -1), apart, np.uint16(0xFFFF))[some]
+            best = np.argmin(lower, axis=1)
+            out.append([ids[order[some]], ids[order[root[some]]], ids[order[best]], lower[np.arange(len(some)), best].astype(np.int64)])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["a", "root", "near", "apart"])
 
 
 def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -165,7 +168,7 @@ def _confirm_blocks(rows: pa.RecordBatch, bounds: np.ndarray, limit: int, percen
             continue
         sets = [np.frombuffer(x, np.uint64) for x in raw[a:b]]
         part = np.unique(label[a:b], return_inverse=True)[1]
-        near = np.triu(_near(sketches[a:b], n[a:b], limit, percent), 1)
+        near = np.triu(_near(sketches[a:b], n[a:b], limit, percent)[1], 1)
         for i in range(b - a):
             for j in np.flatnonzero(near[i] & (part != part[i])).tolist():
                 if part[i] != part[j] and _similar(sets[i], sets[j], percent):
@@ -206,10 +209,10 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = PERCE
     1. Each text gives the minima of its shingle set, keys of bands of minima, and an odd sketch: a bitmap in which every
        minimum flips one bit, so that the XOR of two sketches counts the minima that differ.
     2. Rows with the same set become one (by a 128-bit fingerprint and the size). Sets that share a band are candidates if
-       their sketches and sizes allow the similarity. Full buckets are met in pairs of blocks; each returns a
-       spanning forest of its candidates, whose components split all further work.
+       their sketches and sizes allow the similarity. Full buckets are met in pairs of blocks; each returns for a
+       set the least one that candidates lead to, and the nearest. The components of these split all further work.
     3. Links are confirmed on the full sets inside each component. One of up to ``BLOCK`` sets is one block. In a larger
-       one, the forest's pairs are confirmed first; then only blocks of differently linked sets are compared.
+       one, each set and its nearest are confirmed first; then only blocks of differently linked sets are compared.
 
     A text without words, or null, links with nothing. So does a row without an id: its component is null and it isn't
     kept. Rows with the same id and different texts are one node to others. An empty table gives no rows.
@@ -222,16 +225,17 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = PERCE
 
     places = classes.select("id", F.explode("bands").alias("band"))
     crowded = stored(places.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"))
-    met = blocks_of(places.join(crowded, "band"), ["band"], "size", "id", BLOCK).select("id", "band", "_own", "_p", "_q")
+    met = blocks_of(places.join(crowded, "band"), ["band"], "size", "id", SKETCH_BLOCK).select("id", "band", "_own", "_p", "_q")
     sifted = met.join(classes.select("id", "n", "sketch"), "id").select("id", "band", "_p", "_q", "n", "sketch")
-    forest = stored(map_groups(sifted, ["band", "_p", "_q"], lambda r, b: _candidate_blocks(r, b, limit, percent), "a long, b long").distinct())
-    groups = components(forest)
+    forest = stored(map_groups(sifted, ["band", "_p", "_q"], lambda r, b: _candidate_blocks(r, b, limit, percent), "a long, root long, near long, apart long"))
+    groups = components(forest.select("a", F.col("root").alias("b")).distinct())
 
     sizes = stored(groups.groupBy("component").agg(F.count("*").alias("size")))
     members = stored(groups.join(sizes, "component").select(F.col("node").alias("id"), "component", "size"))
     sets = stored(_shingle_sets(rows.join(members.select("id"), "id", "left_semi"), shingle).distinct())
     large = members.where(F.col("size") > BLOCK).select(F.col("id").alias("a"))
-    first = stored(_confirm_pairs(forest.join(large, "a"), sets, percent))
+    nearest = forest.where("apart < 65535").groupBy("a").agg(F.min(F.struct("apart", "near")).alias("s")).select("a", F.col("s.near").alias("b"))
+    first = stored(_confirm_pairs(nearest.join(large, "a"), sets, percent))
     labels = components(first).select(F.col("node").alias("id"), F.col("component").alias("label"))
     labelled = stored(members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")))
 
@@ -270,3 +274,15 @@ def _label_blocks(dealt: DataFrame) -> DataFrame:
                                lambda k: ~F.col("alone") | (k < F.col("_first")) | (k >= F.col("_first") + F.col("_n"))))
     met = row.withColumn("_other", other)
     return met.withColumns({"_p": F.least("_own", "_other"), "_q": F.greatest("_own", "_other")}).select("id", "component", "label", "_p", "_q")
+
+
+def keep_first(documents: DataFrame, shingle: int = 5, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``documents`` without the rows that ``near_duplicates`` doesn't keep; the columns stay.
+
+    Of rows that repeat an id, one stays. Rows without an id or without words all stay.
+    """
+    groups = near_duplicates(documents, shingle, percent, doc_id, text).where(F.col(doc_id).isNotNull() & ~F.col("kept"))
+    gone = stored(groups.select(F.col(doc_id).alias("_gone")).distinct())
+    left = documents.join(gone, documents[doc_id] == gone["_gone"], "left_anti")
+    each = F.when(F.col(doc_id).isNull(), F.monotonically_increasing_id())
+    return left.withColumn("_each", each).dropDuplicates([doc_id, "_each"]).drop("_each")
