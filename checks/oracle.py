@@ -144,8 +144,11 @@ def osm(px: int, name: str = "osm", zoom: int = 12, bld: str = "bld", clip: bool
 
 
 def both(px: int, name: str = "joined", zoom: int = 12, pop_name: str = "pop", osm_name: str = "osm") -> str:
-    return f"""{name} AS (SELECT p.tile_col, p.tile_row, p.cell_col, p.cell_row, pop, osm FROM {pop_name} p LEFT JOIN {osm_name} o
-    ON p.tile_col = o.tile_col AND p.tile_row = o.tile_row AND p.cell_col = o.cell_col AND p.cell_row = o.cell_row)"""
+    """Cells of both layers laid on top of each other, in tiles that hold population."""
+    return f"""{name} AS (SELECT tile_col, tile_row, cell_col, cell_row, max(pop) AS pop, max(osm) AS osm FROM (
+      SELECT tile_col, tile_row, cell_col, cell_row, pop, NULL::DOUBLE AS osm FROM {pop_name} UNION ALL
+      SELECT tile_col, tile_row, cell_col, cell_row, NULL::DOUBLE, osm FROM {osm_name}
+      WHERE (tile_col, tile_row) IN (SELECT (tile_col, tile_row) FROM {pop_name})) GROUP BY ALL)"""
 
 
 def analysis(px: int, zoom: int = 12) -> list[str]:
@@ -417,9 +420,10 @@ ORACLE: dict[str, str] = {
         round(1 - sum((osm - prediction) * (osm - prediction)) / nullif(sum(osm * osm), 0), 6) AS r2 FROM scored WHERE osm IS NOT NULL AND prediction IS NOT NULL"""),
     "fit_per_country": q([*analysis(64), *cells_in_zones("joined", 64, "zb"),
                           "zsum AS (SELECT code, tile_col, tile_row, cell_col // 16 AS cc, cell_row // 16 AS cr, sum(pop) AS pop, sum(osm) AS osm FROM zb GROUP BY ALL)",
-                          "zfit AS (SELECT code, sum(pop * pop) AS sxx, sum(pop * osm) AS sxy, sum(osm * osm) AS syy, count(*) AS n FROM zsum WHERE osm IS NOT NULL GROUP BY code)"],
-                         """SELECT code, round(sxy / nullif(sxx, 0), 9) AS coefficient, n, round(sqrt(greatest(syy - sxy * sxy / nullif(sxx, 0), 0) / n), 4) AS rmse,
-                            round(1 - greatest(syy - sxy * sxy / nullif(sxx, 0), 0) / nullif(syy, 0), 6) AS r2 FROM zfit"""),
+                          "zslope AS (SELECT code, sum(pop * osm) / nullif(sum(pop * pop), 0) AS coefficient FROM zsum WHERE pop IS NOT NULL AND osm IS NOT NULL GROUP BY code)",
+                          """zerror AS (SELECT code, coefficient, osm, osm - coefficient * pop AS e FROM zsum JOIN zslope USING (code) WHERE pop IS NOT NULL AND osm IS NOT NULL)"""],
+                         """SELECT code, round(any_value(coefficient), 9) AS coefficient, count(*) AS n, round(sqrt(avg(e * e)), 4) AS rmse,
+                            round(1 - sum(e * e) / nullif(sum(osm * osm), 0), 6) AS r2 FROM zerror GROUP BY code"""),
     "tile_totals": q([*scored(4), stats()], "SELECT tile_col, tile_row, round(pop_sum, 2) AS population, round(osm_sum, 2) AS actual, round(prediction_sum, 2) AS expected FROM stats"),
     "knn_density": q(_neighbours(), f"SELECT {KEYS}, round(sum(weight) / nullif(pi() * max(distance) * max(distance), 0), 7) AS density FROM ranked GROUP BY {KEYS}"),
     "train_unlabeled": q([*analysis(16), fit("model", "joined")], model()),

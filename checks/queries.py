@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,7 @@ from gridfill.operators import coverage, density, joins, regression, report, zon
 from gridfill.plans import coverage_model as plans
 from gridfill.sources import features as feats
 from gridfill.sources import layers, pixels, zones
+from gridfill.sources.scratch import shared_folder
 
 GRID = Grid()
 FINE, QUARTER, COARSE, LABELED = GRID, GRID.with_px(64), GRID.with_px(16), GRID.with_px(4)
@@ -67,13 +68,8 @@ def _tiles(df):
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared one; a local folder only where none is configured."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        import uuid
-
-        return f"{shared.rstrip('/')}/gridfill-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="gridfill-")
+    """A new folder in the shared one."""
+    return f"{shared_folder(spark)}/gridfill-{uuid.uuid4().hex}"
 
 
 # -- sources ----------------------------------------------------------------------------------------------------

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 EARTH_RADIUS = 6378137.0
 WORLD_HALF_WIDTH = 20037508.342789244
 
+# The latitude at which the world becomes a square.
+MAX_LATITUDE = math.degrees(math.atan(math.sinh(math.pi)))
+
 
 def lon_to_x(lon: Column) -> Column:
     return F.radians(lon) * F.lit(EARTH_RADIUS)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridfill.functions.grid import CELL_KEY, TILE_KEY, Grid
 from gridfill.functions.mercator import lat_to_y, lon_to_x
-from gridfill.sources.pixels import data_pixels
+from gridfill.sources.pixels import data_pixels, in_world
 
 # Zoom levels of a pyramid summed from one shuffle.
 BLOCK_LEVELS = 4
@@ -19,11 +19,12 @@ def pop_grid(pixels: DataFrame, grid: Grid = Grid(), column: str = "pop") -> Dat
     """Population pixels on the working grid: each pixel counts in full for the cell holding its centre.
 
     One shuffle of partly summed cells. Summing straight onto a coarse grid gives what summing onto a fine
-    one and down-sampling would, so ask for the grid that is needed.
+    one and down-sampling would, so ask for the grid that is needed. Pixels outside the square world count nowhere.
     """
-    data = data_pixels(pixels)
+    data = in_world(data_pixels(pixels))
     gcol, grow = grid.cell_index(lon_to_x(F.col("lon")), lat_to_y(F.col("lat")))
-    placed = data.select(gcol.alias("gcol"), grow.alias("grow"), "value")
+    last = F.lit(grid.tiles * grid.px - 1).cast("bigint")  # the date line and the lower edge close the last cells
+    placed = data.select(F.least(gcol, last).alias("gcol"), F.least(F.greatest(grow, F.lit(0).cast("bigint")), last).alias("grow"), "value")
     # grouped by the key layers are joined on, so that a join needs no second shuffle
     return placed.groupBy(*grid.split(F.col("gcol"), F.col("grow"))).agg(F.sum("value").alias(column))
 
@@ -78,8 +79,8 @@ def pyramid_sum(cells: DataFrame, grid: Grid, bands: Sequence[str], min_zoom: in
 
 def drop_nodata_tiles(cells: DataFrame, column: str) -> DataFrame:
     """Rows of tiles with at least one data cell in ``column``."""
-    with_data = cells.where(F.col(column).isNotNull()).select(*TILE_KEY).distinct()
-    return cells.join(with_data, TILE_KEY, "left_semi")
+    data = F.max(F.col(column).isNotNull()).over(Window.partitionBy(*TILE_KEY))  # one pass: a tile holds at most px * px cells
+    return cells.withColumn("_data", data).where("_data").drop("_data")
 
 
 def layer_metadata(cells: DataFrame, grid: Grid) -> DataFrame:

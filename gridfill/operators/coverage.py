@@ -20,12 +20,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridfill.functions.albers import cell_area_m2
 from gridfill.functions.grid import CELL_KEY, TILE_KEY, Grid, snap_bits
-from gridfill.functions.mercator import WORLD_HALF_WIDTH
+from gridfill.functions.mercator import WORLD_HALF_WIDTH, lat_to_y, lon_to_x
 from gridfill.functions.shapes import segments_sql, signed_area_sql
 from gridfill.functions.spread import spread
 
@@ -222,6 +222,46 @@ def cells_by_zone(cells: DataFrame, spans: DataFrame, grid: Grid, key: str = "co
     return joined.select(key, *cells.columns)
 
 
+def touched_tiles(polygons: DataFrame, grid: Grid) -> DataFrame:
+    """Distinct tiles that the polygons' bounding boxes touch: few rows, and enough to leave the rest of the world out."""
+    return _box_tiles(polygons, grid).select(*TILE_KEY).distinct()
+
+
+def _box_tiles(polygons: DataFrame, grid: Grid) -> DataFrame:
+    outer = F.get("rings", F.lit(0))
+
+    def edge(pick, axis: str):
+        return pick(F.transform(outer, lambda p: p[axis]))
+
+    bounds = grid.key_bounds(edge(F.array_min, "x"), edge(F.array_min, "y"), edge(F.array_max, "x"), edge(F.array_max, "y"))
+    boxed = polygons.withColumns({f"_{n}": v for n, v in bounds.items()})
+    boxed = boxed.withColumn("tile_col", F.explode(F.sequence("_col_min", "_col_max")))
+    return boxed.withColumn("tile_row", F.explode(F.sequence("_row_min", "_row_max"))).drop(*[f"_{n}" for n in bounds])
+
+
+def pixels_in_tiles(pixels: DataFrame, tiles: DataFrame, grid: Grid) -> DataFrame:
+    """Pixels whose centre lies in one of ``tiles``. The tiles' common box filters ``lon`` and ``lat`` in the scan already."""
+    ends = tiles.agg(F.min("tile_col").alias("c0"), F.max("tile_col").alias("c1"), F.min("tile_row").alias("r0"), F.max("tile_row").alias("r1"))
+    west, east = grid.tile_extent_lonlat(F.col("c0"), F.col("r1")), grid.tile_extent_lonlat(F.col("c1"), F.col("r0"))
+
+    def bound(value) -> Column:
+        return ends.select(value.alias("bound")).scalar()
+
+    lon, lat, margin = F.col("lon"), F.col("lat"), F.lit(1e-6)  # rounding must not lose a pixel on the border
+    near = pixels.where((lon >= bound(west["lon_min"] - margin)) & (lon <= bound(east["lon_max"] + margin))
+                        & (lat >= bound(west["lat_min"] - margin)) & (lat <= bound(east["lat_max"] + margin)))
+    keys = {"tile_col": grid.tile_col(lon_to_x(lon)), "tile_row": grid.tile_row(lat_to_y(lat))}
+    return near.withColumns(keys).join(tiles, TILE_KEY, "left_semi").select(*pixels.columns)
+
+
+def in_tiles(polygons: DataFrame, tiles: DataFrame, grid: Grid) -> DataFrame:
+    """Polygons whose bounding box touches one of ``tiles``. Polygons are known by a hash of their rings, so that only hashes
+    are multiplied by tiles; should two share one, a polygon too many stays."""
+    known = polygons.withColumn("_shape", F.xxhash64("rings"))
+    touching = _box_tiles(known.select("_shape", "rings"), grid).select("_shape", *TILE_KEY).join(tiles, TILE_KEY, "left_semi")
+    return known.join(touching.select("_shape").distinct(), "_shape", "left_semi").drop("_shape")
+
+
 def tiles_for_geometry(zones: DataFrame, grid: Grid, key: str = "code") -> DataFrame:
     """Tiles touched by each zone: ``key, tile_col, tile_row``."""
     return zone_cells(zones, grid.with_px(1), key).select(key, *TILE_KEY)

@@ -6,18 +6,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridfill.functions.grid import CELL_KEY, TILE_KEY, Grid
-from gridfill.operators.coverage import footprint_grid, tiles_for_geometry
+from gridfill.operators.coverage import footprint_grid, in_tiles, tiles_for_geometry
+from gridfill.operators.zonal import tile_stats
 
 
 def pop_with_footprint(pop: DataFrame, footprint: DataFrame) -> DataFrame:
-    """Population cells with their footprint, NULL where nothing is mapped. Both sides hold one row per cell."""
-    return pop.join(footprint, CELL_KEY, "left")
+    """Population tiles with the whole of their footprint tiles, cell by cell.
+
+    A tile with population gets every footprint cell of the same tile, also those without population (``pop`` NULL);
+    ``osm`` is NULL where nothing is mapped. Footprints of tiles without population are left out. Both sides hold one
+    row per cell.
+    """
+    tiles = pop.select(*TILE_KEY).distinct()
+    return pop.join(footprint.join(tiles, TILE_KEY, "left_semi"), CELL_KEY, "full_outer")
+
+
+def tile_stats_with_footprint(scored: DataFrame, footprint: DataFrame) -> DataFrame:
+    """Statistics of population tiles (``pop``, ``prediction``) and of all footprint (``osm``) in the same tiles.
+
+    What ``tile_stats`` gives for cells joined by ``pop_with_footprint``, from one small join of tiles.
+    """
+    return tile_stats(scored, ["pop", "prediction"]).join(tile_stats(footprint, ["osm"]), TILE_KEY, "left").withColumn(
+        "osm_count", F.coalesce("osm_count", F.lit(0).cast("bigint")))
 
 
 def country_footprint(buildings: DataFrame, zone: DataFrame, grid: Grid = Grid(12, 12), key: str = "code") -> DataFrame:
     """Footprint cells of all tiles covering a zone."""
     covered = tiles_for_geometry(zone, grid, key).select(*TILE_KEY).distinct()
-    return footprint_grid(buildings, grid).join(covered, TILE_KEY, "left_semi")
+    return footprint_grid(in_tiles(buildings, covered, grid), grid).join(covered, TILE_KEY, "left_semi")
 
 
 def coverage_change(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -13,16 +13,21 @@ from gridfill.functions.grid import Grid
 from gridfill.operators.coverage import cells_by_zone
 
 
+RESOLUTION = 1e-12
+
+
 def fit_through_origin(cells: DataFrame, by: Sequence[str] = (), x: str = "pop", y: str = "osm") -> DataFrame:
     """``*by, coefficient, n, rmse, r2`` of ``y ~ x`` without intercept, over cells holding both.
 
-    One pass of partial sums. R2 is taken about zero, as is usual without an intercept.
+    One pass of partial sums, so squared errors below ``RESOLUTION`` of all squares are rounding and count as 0. R2 is
+    taken about zero, as is usual without an intercept.
     """
     both = cells.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     sums = both.groupBy(*by).agg(
         F.sum(F.col(x) * F.col(x)).alias("sxx"), F.sum(F.col(x) * F.col(y)).alias("sxy"),
         F.sum(F.col(y) * F.col(y)).alias("syy"), F.count(F.lit(1)).alias("n"))
-    error = F.greatest(F.col("syy") - F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx")), F.lit(0.0))
+    error = F.col("syy") - F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx"))
+    error = F.when(error > RESOLUTION * F.col("syy"), error).when(error.isNotNull(), 0.0)
     return sums.select(
         *by, F.try_divide("sxy", "sxx").alias("coefficient"), "n",
         F.sqrt(F.try_divide(error, F.col("n"))).alias("rmse"), (1 - F.try_divide(error, F.col("syy"))).alias("r2"))
@@ -38,11 +43,14 @@ def fit_per_country(cells: DataFrame, spans: DataFrame, grid: Grid, px: int, key
     return fit_through_origin(zone_cells, [key])
 
 
-def predict_footprint(cells: DataFrame, model: DataFrame | float, by: Sequence[str] = ()) -> DataFrame:
+def predict_footprint(cells: DataFrame, model: DataFrame | LinearRegressionModel | float, by: Sequence[str] = ()) -> DataFrame:
     """Add ``prediction``: the coefficient times population, NULL without population.
 
-    ``model`` is a number, a one-row table (read as a scalar subquery) or, with ``by``, one row per group.
+    ``model`` is a number, a fitted or loaded ``LinearRegressionModel``, a one-row table (read as a scalar subquery) or,
+    with ``by``, one row per group.
     """
+    if isinstance(model, LinearRegressionModel):
+        model = float(model.coefficients[0])
     if by:
         coefficients = model.select(*by, F.col("coefficient").alias("_coefficient"))
         scored = cells.join(coefficients, list(by), "left")

@@ -2,69 +2,88 @@
 
 from __future__ import annotations
 
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from gridfill.functions.grid import Grid
+from gridfill.functions.grid import TILE_KEY, Grid
 from gridfill.operators.cells import fill_missing_footprint, filter_both_valid, pop_grid, resample
-from gridfill.operators.coverage import footprint_grid, mask_cells
-from gridfill.operators.joins import pop_with_footprint
+from gridfill.operators.coverage import footprint_grid, in_tiles, mask_cells, pixels_in_tiles, touched_tiles
+from gridfill.operators.joins import pop_with_footprint, tile_stats_with_footprint
 from gridfill.operators.regression import fit_through_origin, predict_footprint
 from gridfill.operators.report import completeness_index
-from gridfill.operators.zonal import tile_stats
 from gridfill.sources.features import building_polygons
 
+Model = DataFrame | LinearRegressionModel | float
+
 # Analysis cells per tile side: fixed values of the two kinds of model.
 UNLABELED_PX = 16
 LABELED_PX = 4
 
 
-def analysis_cells(pixels: DataFrame, features: DataFrame, px: int, grid: Grid = Grid(), masks: DataFrame | None = None,
-                   mask_both: bool = False, clip_zone: DataFrame | None = None, clip_to_tile: bool = False,
-                   layer: str | None = None) -> DataFrame:
-    """Population cells with their footprint, ``px`` per tile side.
+def analysis_layers(pixels: DataFrame, features: DataFrame, px: int, grid: Grid = Grid(), masks: DataFrame | None = None,
+                    mask_both: bool = False, clip_zone: DataFrame | None = None, clip_to_tile: bool = False,
+                    layer: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Population and footprint cells, ``px`` per tile side, each on its own.
 
     Sums compose, so what is not masked is summed straight onto the analysis grid and never exists on the
     working grid. ``masks`` cut population on the working grid, with ``mask_both`` footprints too; ``clip_zone``
-    always cuts both.
+    always cuts both. What lies in tiles that no area touches is left out before anything is summed.
     """
-    def cut(areas: list[DataFrame | None], on_grid) -> DataFrame:
-        if all(a is None for a in areas):
-            return on_grid(grid.with_px(px))
-        cells = on_grid(grid)
+    def cut(areas: list[DataFrame | None], source: DataFrame, prune, on_grid) -> DataFrame:
+        areas = [a for a in areas if a is not None]
+        if not areas:
+            return on_grid(source, grid.with_px(px))
+        for area in areas:
+            source = prune(source, touched_tiles(area, grid), grid)
+        cells = on_grid(source, grid)
         for area in areas:
             cells = mask_cells(cells, area, grid)
         band = cells.columns[-1]
         return resample(cells, grid, px, [band])
 
-    buildings = building_polygons(features, layer)
-    pop = cut([clip_zone, masks], lambda g: pop_grid(pixels, g))
-    footprint = cut([clip_zone, masks if mask_both else None], lambda g: footprint_grid(buildings, g, clip_to_tile=clip_to_tile))
-    return pop_with_footprint(pop, footprint)
+    def buildings_in_tiles(buildings: DataFrame, tiles: DataFrame, grid: Grid) -> DataFrame:
+        return buildings.join(tiles, TILE_KEY, "left_semi") if clip_to_tile else in_tiles(buildings, tiles, grid)
+
+    pop = cut([clip_zone, masks], pixels, pixels_in_tiles, pop_grid)
+    footprint = cut([clip_zone, masks if mask_both else None], building_polygons(features, layer), buildings_in_tiles,
+                    lambda b, g: footprint_grid(b, g, clip_to_tile=clip_to_tile))
+    return pop, footprint
+
+
+def analysis_cells(pixels: DataFrame, features: DataFrame, px: int, grid: Grid = Grid(), **options) -> DataFrame:
+    """``analysis_layers`` joined: population tiles with all their footprint cells."""
+    return pop_with_footprint(*analysis_layers(pixels, features, px, grid, **options))
+
+
+def _trained(cells: DataFrame) -> DataFrame:
+    model = fit_through_origin(cells)
+    return model.withColumn("coefficient", F.when(F.col("n") > 0, F.col("coefficient")).otherwise(F.raise_error(F.lit("no cell to train on"))))
 
 
 def train_unlabeled(pixels: DataFrame, features: DataFrame, px: int = UNLABELED_PX, grid: Grid = Grid(), **options) -> DataFrame:
-    """Fit on every cell where both population and footprint are known."""
-    return fit_through_origin(filter_both_valid(analysis_cells(pixels, features, px, grid, **options)))
+    """Fit on every cell where both population and footprint are known; none is an error when the model is read."""
+    return _trained(filter_both_valid(analysis_cells(pixels, features, px, grid, **options)))
 
 
 def train_labeled(pixels: DataFrame, features: DataFrame, masks: DataFrame, px: int = LABELED_PX, grid: Grid = Grid(),
                   **options) -> DataFrame:
-    """Fit inside hand-labelled areas, where no footprint means no building."""
-    return fit_through_origin(fill_missing_footprint(analysis_cells(pixels, features, px, grid, masks, **options)))
+    """Fit inside hand-labelled areas, where no footprint means no building; no cell there is an error when the model is read."""
+    return _trained(fill_missing_footprint(analysis_cells(pixels, features, px, grid, masks=masks, **options)))
 
 
-def _completeness(pixels: DataFrame, features: DataFrame, model: DataFrame | float, px: int, grid: Grid, **options) -> DataFrame:
-    scored = predict_footprint(analysis_cells(pixels, features, px, grid, **options), model)
-    return completeness_index(tile_stats(scored))
+def _completeness(pixels: DataFrame, features: DataFrame, model: Model, px: int, grid: Grid, **options) -> DataFrame:
+    pop, footprint = analysis_layers(pixels, features, px, grid, **options)
+    return completeness_index(tile_stats_with_footprint(predict_footprint(pop, model), footprint))
 
 
-def predict_unlabeled(pixels: DataFrame, features: DataFrame, model: DataFrame | float, px: int = UNLABELED_PX,
+def predict_unlabeled(pixels: DataFrame, features: DataFrame, model: Model, px: int = UNLABELED_PX,
                       grid: Grid = Grid(), **options) -> DataFrame:
     """Completeness of every tile with population, from a model fitted without labels."""
     return _completeness(pixels, features, model, px, grid, **options)
 
 
-def predict_labeled(pixels: DataFrame, features: DataFrame, model: DataFrame | float, px: int = LABELED_PX,
+def predict_labeled(pixels: DataFrame, features: DataFrame, model: Model, px: int = LABELED_PX,
                     grid: Grid = Grid(), **options) -> DataFrame:
     """Completeness of every tile with population, from a model fitted on labelled areas."""
     return _completeness(pixels, features, model, px, grid, **options)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridfill.functions.grid import TILE_KEY, DegreeGrid
+from gridfill.functions.mercator import MAX_LATITUDE
 
 
 def read_pixels(spark: SparkSession, path: str) -> DataFrame:
@@ -30,6 +31,11 @@ def data_pixels(pixels: DataFrame) -> DataFrame:
     return pixels.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def in_world(pixels: DataFrame) -> DataFrame:
+    """Pixels inside the square Mercator world, as a filter the scan can use."""
+    return pixels.where(F.col("lon").between(-180.0, 180.0) & F.col("lat").between(-MAX_LATITUDE, MAX_LATITUDE))
+
+
 def raster_tiles(pixels: DataFrame, grid: DegreeGrid = DegreeGrid()) -> DataFrame:
     """Tiles of the source layout holding data: ``tile_col, tile_row, n_pixels, n_data, value_sum``."""
     col, row = grid.pixel(F.col("lon"), F.col("lat"))

@@ -2,16 +2,22 @@
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, stored under the session's ``spark.checkpoint.dir`` so that they outlive executors.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``. A local session, whose tasks share its disk, may go without it; a cluster may not."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="gridfill-")
+
 
-    Only a session without that setting (a test on one machine) gets a folder of its own.
-    """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="gridfill-"))
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, stored in the shared folder so that they outlive executors."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

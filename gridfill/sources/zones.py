@@ -52,12 +52,24 @@ def training_polygons(lines: DataFrame, column: str = "value", *keep: str) -> Da
     return polygons_of(multi.select(*keep, F.from_json(column, GEOJSON_FEATURE).alias("f")).select(*keep, "f.*"), *keep)
 
 
-def read_training_polygons(spark: SparkSession, path: str) -> DataFrame:
-    """Training areas from a GeoJSON FeatureCollection file, or from newline-delimited features (``*.geojsonl``)."""
-    if path.rstrip("/").endswith("l"):
-        return training_polygons(spark.read.text(path))
-    # one document cannot be split; its features are spread out right behind the reader
-    document = spark.read.text(path, wholetext=True)
-    features = document.select(F.explode(F.from_json(
-        F.get_json_object("value", "$.features"), "ARRAY<STRING>")).alias("value"))
-    return training_polygons(features)
+def read_training_polygons(spark: SparkSession, path: str, splittable: bool = False) -> DataFrame:
+    """Training areas from GeoJSON files: a FeatureCollection, one feature, or one feature a line; told by the content.
+
+    ``path`` is a file or a folder. A file is read as one value and must stay below 2 GB, which hand-drawn areas do; its
+    features are spread out right behind the reader. Larger files of one feature a line are read with ``splittable``.
+    Text of another kind is an error when it is read.
+    """
+    if splittable:
+        features = spark.read.text(path).where("trim(value) <> ''")
+    else:
+        document = spark.read.text(path, wholetext=True)
+        listed = F.from_json(F.get_json_object("value", "$.features"), "ARRAY<STRING>")
+        lines = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
+        by_line = F.when(F.get_json_object(F.get(lines, F.lit(0)), "$.type") == "Feature", lines)
+        features = document.select(F.explode(F.coalesce(listed, by_line, F.array("value"))).alias("value"))
+    return training_polygons(features.withColumn("value", _feature_or_error(F.col("value"))))
+
+
+def _feature_or_error(text: Column) -> Column:
+    kind = F.get_json_object(text, "$.type")
+    return F.when(kind == "Feature", text).otherwise(F.raise_error(F.concat(F.lit("neither a GeoJSON FeatureCollection nor a feature: "), F.substring(text, 1, 80))))

@@ -81,8 +81,13 @@ def test_training_files(spark, tmp_path):
     geometries = [("MultiPolygon", [[ring, ring], [ring]]), ("MultiPolygon", []), ("Polygon", [ring]), ("Point", [1.0, 2.0]), ("MultiPolygon", [[ring]])]
     items = [{"type": "Feature", "properties": {}, "geometry": {"type": t, "coordinates": c}} for t, c in geometries]
     (tmp_path / "areas.json").write_text(json.dumps({"type": "FeatureCollection", "features": items}, indent=1))
-    (tmp_path / "areas.geojsonl").write_text("\n".join(json.dumps(i) for i in items))
-    for name in ("areas.json", "areas.geojsonl"):
+    for name in ("areas.geojsonl", "areas.ndjson", "final"):
+        (tmp_path / name).mkdir() if name == "final" else (tmp_path / name).write_text("\n".join(json.dumps(i) for i in items))
+    (tmp_path / "final" / "part").write_text((tmp_path / "areas.json").read_text())
+    (tmp_path / "wrong.json").write_text('{"type": "Topology", "objects": {}}')
+    with pytest.raises(Exception, match="neither a GeoJSON"):
+        zones.read_training_polygons(spark, str(tmp_path / "wrong.json")).collect()
+    for name in ("areas.json", "areas.geojsonl", "areas.ndjson", "final"):
         got = zones.read_training_polygons(spark, str(tmp_path / name)).collect()
         assert sorted((r.part, len(r.rings)) for r in got) == [(0, 1), (0, 2), (1, 1)]
         assert got[0].rings[0][1] == (9.0, 0.0)
