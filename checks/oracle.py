@@ -281,7 +281,7 @@ def _neighbours() -> list[str]:
 
 def _defects() -> str:
     """Spoiled outer rings, judged vertex by vertex and edge pair by edge pair."""
-    pick = """CASE WHEN k % 17 = 0 THEN [0, 1, 2, 3] WHEN k % 19 = 0 THEN [0, 1, 0] WHEN k % 23 = 0 THEN [0, 2, 1, 3, 0]
+    pick = """CASE WHEN k % 17 = 0 THEN [0, 1, 2, 3, 0] WHEN k % 19 = 0 THEN [0, 1, 0] WHEN k % 23 = 0 THEN [0, 2, 1, 3, 0]
         WHEN k % 29 = 0 THEN [0, 1, 0, 1, 0] ELSE [0, 1, 2, 3, 4] END"""
     side = lambda s, p: f"sign(({s}.xb - {s}.xa) * ({p[1]} - {s}.ya) - ({s}.yb - {s}.ya) * ({p[0]} - {s}.xa))"
     pt = lambda s, e: (f"{s}.x{e}", f"{s}.y{e}")
@@ -293,10 +293,11 @@ def _defects() -> str:
               f"crossed AS (SELECT DISTINCT s.k FROM se s JOIN se t ON s.k = t.k AND t.n > s.n + 1 WHERE {crossing})",
               """shape AS (SELECT k, count(*) AS points, arg_min(x, n) = arg_max(x, n) AND arg_min(y, n) = arg_max(y, n) AS closed FROM sv GROUP BY k)""",
               "turned AS (SELECT e.k, abs(sum((xa - ox) * (yb - oy) - (xb - ox) * (ya - oy))) / 2 AS area FROM se e JOIN (SELECT k, arg_min(x, n) AS ox, arg_min(y, n) AS oy FROM sv GROUP BY k) o ON e.k = o.k GROUP BY e.k)"],
-             """SELECT s.k AS building_id, CASE WHEN points < 4 THEN 'ring of fewer than 4 points' WHEN NOT closed THEN 'open ring'
+             """SELECT building_id, defect, CASE WHEN defect IS NULL THEN round(left_over, 2) END AS area FROM (
+                SELECT s.k AS building_id, area - CASE WHEN s.k % 5 = 0 THEN hole ELSE 0 END AS left_over, CASE WHEN points < 4 THEN 'ring of fewer than 4 points' WHEN NOT closed THEN 'open ring'
                 WHEN c.k IS NOT NULL THEN 'crosses itself' WHEN area - CASE WHEN s.k % 5 = 0 THEN hole ELSE 0 END <= 0 THEN 'no area' END AS defect
                 FROM shape s LEFT JOIN crossed c ON s.k = c.k LEFT JOIN turned t ON s.k = t.k
-                JOIN (SELECT k, CASE WHEN k % 2 = 0 THEN w * h ELSE w * h / 2 END AS hole FROM bld) b ON s.k = b.k""")
+                JOIN (SELECT k, CASE WHEN k % 2 = 0 THEN w * h ELSE w * h / 2 END AS hole FROM bld) b ON s.k = b.k)""")
 
 
 def _cells(cells: str, **digits: int) -> str:

@@ -4,11 +4,13 @@ Written as SQL text and parsed once each: nested lambdas built call by call from
 than to run. Arguments are SQL texts too, usually column names.
 """
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rings of up to this many points are tested for crossings pair by pair.
-SHORT_RING = 48
+from gridfill.functions.mercator import WORLD_HALF_WIDTH
+
+
+RUN = 16
 
 
 def segments_sql(ring: str) -> str:
@@ -67,10 +69,10 @@ def _cross_sql(a: str, b: str, c: str, d: str) -> str:
 
 
 def crosses_itself_sql(ring: str) -> str:
-    """Whether two edges of a ring cross. Long rings are cut into runs of about sqrt(n) edges, and only runs whose
-    boxes overlap are tested edge by edge."""
+    """Whether two edges of a ring cross. Rings are cut into runs of about sqrt(n) edges, and only runs whose boxes
+    overlap are tested edge by edge; runs of less than ``RUN`` edges would cost more than they save."""
     segments = f"transform({segments_sql(ring)}, (g, i) -> named_struct('a', g.a, 'b', g.b, 'i', i))"
-    step = f"cast(ceil(sqrt(size({ring}))) as int)"
+    step = f"greatest(cast(ceil(sqrt(size({ring}))) as int), {RUN})"
     bounds = ", ".join(
         f"'{axis}{n}', array_{pick}(transform(slice(r.all, p + 1, r.step), m -> {of}(m.a.{axis}, m.b.{axis})))"
         for axis in "xy" for n, pick, of in ((0, "min", "least"), (1, "max", "greatest")))
@@ -81,16 +83,48 @@ def crosses_itself_sql(ring: str) -> str:
     pair = f"t.i > s.i + 1 AND {_cross_sql('s.a', 's.b', 't.a', 't.b')}"
     in_runs = (f"exists(transform(array({runs}), q -> exists(q, v -> exists(q, w -> {overlapping} AND "
                f"exists(v.edges, s -> exists(w.edges, t -> {pair}))))), z -> z)")
-    c = ring
-    short = (f"exists(sequence(0, size({c}) - 4), i -> exists(sequence(i + 2, size({c}) - 2), j -> "
-             f"{_cross_sql(f'{c}[i]', f'{c}[i + 1]', f'{c}[j]', f'{c}[j + 1]')}))")
-    return f"CASE WHEN size({c}) < 5 THEN false WHEN size({c}) <= {SHORT_RING} THEN {short} ELSE {in_runs} END"
+    return f"(size({ring}) >= 5 AND {in_runs})"
+
+
+def _closed_sql(ring: str) -> str:
+    """A ring without repeated points, closed by its first one."""
+    apart = lambda p, q: f"({p}.x <> {q}.x OR {p}.y <> {q}.y)"
+    single = f"filter({ring}, (p, i) -> i = 0 OR {apart('p', f'get({ring}, i - 1)')})"
+    ends = apart("get(q, 0)", "try_element_at(q, -1)")
+    return f"get(transform(array({single}), q -> IF({ends}, concat(q, array(get(q, 0))), q)), 0)"
+
+
+def _finite_sql(ring: str) -> str:
+    return f"forall({ring}, p -> coalesce(abs(p.x) < double('Infinity') AND abs(p.y) < double('Infinity'), false))"
+
+
+def mended(polygons: DataFrame) -> DataFrame:
+    """Polygons with their rings closed, without repeated points and without holes that enclose nothing or cross themselves.
+
+    The rings stand behind a generator, so that the optimizer doesn't copy their making into every use of them.
+    """
+    closed = f"transform(filter(rings, r -> r IS NOT NULL), r -> {_closed_sql('r')})"
+    hole = f"size(h) >= 4 AND {_finite_sql('h')} AND NOT {crosses_itself_sql('h')} AND {signed_area_sql('h')} <> 0"
+    rings = f"get(transform(array({closed}), c -> concat(slice(c, 1, 1), filter(slice(c, 2, greatest(size(c) - 1, 0)), h -> {hole}))), 0)"
+    rest = [f"`{c}`" for c in polygons.columns if c != "rings"]
+    return polygons.selectExpr(*rest, f"inline(array(named_struct('rings', {rings})))").select(*polygons.columns)
+
+
+def usable_areas(polygons: DataFrame) -> DataFrame:
+    """Masks or zones with mended rings. An area that is still no polygon is an error when it is read: left out or taken as it
+    is, it would silently select the wrong cells."""
+    known = ", ".join(f"`{c}`" for c in polygons.columns if c != "rings")
+    told = f"concat('unusable area, ', _defect, ': ', to_json(struct({known})))" if known else "concat('unusable area, ', _defect)"
+    checked = mended(polygons).withColumn("_defect", polygon_defect("rings"))
+    return checked.withColumn("rings", F.expr(f"IF(_defect IS NULL, rings, raise_error({told}))")).select(*polygons.columns)
 
 
 def polygon_defect(rings: str = "rings") -> Column:
     """Why a polygon cannot be put on a grid; NULL when it can."""
     return F.expr(f"""
         CASE WHEN {rings} IS NULL OR size({rings}) = 0 THEN 'empty'
+             WHEN exists({rings}, r -> NOT {_finite_sql('r')}) THEN 'no finite coordinates'
+             WHEN exists({rings}, r -> exists(r, p -> greatest(abs(p.x), abs(p.y)) > {WORLD_HALF_WIDTH}D * (1 + 1e-12D))) THEN 'outside the world'
              WHEN exists({rings}, r -> size(r) < 4) THEN 'ring of fewer than 4 points'
              WHEN exists({rings}, r -> get(r, 0) <> element_at(r, -1)) THEN 'open ring'
              WHEN exists({rings}, c -> {crosses_itself_sql('c')}) THEN 'crosses itself'

@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from gridfill.functions.albers import cell_area_m2
 from gridfill.functions.grid import CELL_KEY, TILE_KEY, Grid, snap_bits
 from gridfill.functions.mercator import WORLD_HALF_WIDTH, lat_to_y, lon_to_x
-from gridfill.functions.shapes import segments_sql, signed_area_sql
+from gridfill.functions.shapes import segments_sql, signed_area_sql, usable_areas
 from gridfill.functions.spread import spread
+from gridfill.sources.features import valid_polygons
 
 # A cell counts as covered from this share of a 256-px cell on; on other grids the same area is asked for.
 TOUCH_SHARE = 1e-9
@@ -156,7 +157,8 @@ def span_cells(spans: DataFrame, grid: Grid) -> DataFrame:
 
 
 def footprint_fraction(polygons: DataFrame, grid: Grid, keys: Sequence[str] = ("building_id",)) -> DataFrame:
-    """Covered share of every cell touched by each polygon: ``CELL_KEY, *keys, fraction``."""
+    """Covered share of every cell touched by each polygon: ``CELL_KEY, *keys, fraction``. Polygons beyond mending have none."""
+    polygons = valid_polygons(polygons)
     return span_cells(coverage_spans(outline_cells(polygons, grid, keys), grid, keys), grid)
 
 
@@ -180,7 +182,7 @@ def mask_cells(cells: DataFrame, masks: DataFrame | None, grid: Grid) -> DataFra
     """
     if masks is None:
         return cells
-    outline = outline_cells(masks, grid, long_outlines=True)
+    outline = outline_cells(usable_areas(masks), grid, long_outlines=True)
     scale, px = 1 << snap_bits(grid), grid.px
     down = "(PARTITION BY _gcol ORDER BY _grow RANGE BETWEEN"
     marked = cells.selectExpr("*", f"tile_col * {px} + cell_col AS _gcol", f"tile_row * {px} + cell_row AS _grow", "true AS _is_cell")
@@ -208,7 +210,7 @@ def tile_strips(spans: DataFrame, grid: Grid) -> DataFrame:
 
 def zone_spans(zones: DataFrame, grid: Grid, key: str = "code") -> DataFrame:
     """As ``zone_cells``, as runs of rows in a column: what zones are stored and joined as."""
-    return coverage_spans(outline_cells(zones, grid, [key], long_outlines=True), grid, [key])
+    return coverage_spans(outline_cells(usable_areas(zones.select(key, "rings")), grid, [key], long_outlines=True), grid, [key])
 
 
 def cells_by_zone(cells: DataFrame, spans: DataFrame, grid: Grid, key: str = "code") -> DataFrame:
@@ -224,7 +226,7 @@ def cells_by_zone(cells: DataFrame, spans: DataFrame, grid: Grid, key: str = "co
 
 def touched_tiles(polygons: DataFrame, grid: Grid) -> DataFrame:
     """Distinct tiles that the polygons' bounding boxes touch: few rows, and enough to leave the rest of the world out."""
-    return _box_tiles(polygons, grid).select(*TILE_KEY).distinct()
+    return _box_tiles(usable_areas(polygons), grid).select(*TILE_KEY).distinct()
 
 
 def _box_tiles(polygons: DataFrame, grid: Grid) -> DataFrame:

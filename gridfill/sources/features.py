@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridfill.functions.grid import TILE_KEY, Grid
-from gridfill.functions.shapes import building_levels, polygon_defect
+from gridfill.functions.shapes import building_levels, mended, polygon_defect
 
 
 def tile_lookup(tiles: DataFrame, keys: DataFrame, grid: Grid = Grid()) -> DataFrame:
@@ -52,8 +52,9 @@ def with_levels(features: DataFrame) -> DataFrame:
 
 
 def check_polygons(features: DataFrame) -> DataFrame:
-    """Add ``defect``: NULL for usable polygons, else the reason."""
-    return features.withColumn("defect", polygon_defect("rings"))
+    """Mend ``rings`` (closed, no repeated points, no empty or crossed holes) and add ``defect``: NULL for polygons that are
+    usable then, else the reason."""
+    return mended(features).withColumn("defect", polygon_defect("rings"))
 
 
 def valid_polygons(features: DataFrame) -> DataFrame:
@@ -61,7 +62,7 @@ def valid_polygons(features: DataFrame) -> DataFrame:
 
 
 def rejected_polygons(features: DataFrame) -> DataFrame:
-    """The polygons left out and why; nothing is repaired."""
+    """The polygons left out and why: those whose outer ring is no simple polygon even when closed."""
     return check_polygons(features).where("defect IS NOT NULL")
 
 

@@ -141,3 +141,23 @@ def test_cell_area_constants():
 
     rows = SparkSession.active().createDataFrame([(2333,), (2048,)], "r long").select(cell_area_m2(GRID, F.col("r"))).collect()
     assert [r[0] for r in rows] == pytest.approx([1207.4063854, 1450.8755217], abs=1e-6)
+
+
+def test_spoiled_areas(spark):
+    """Open rings are closed, whichever side is open; what cannot be mended is an error, never a wrong region."""
+    data = [(c, r, 1.0) for c in range(599990, 600030) for r in range(595990, 596030)]
+    cells = spark.createDataFrame(data, "gcol long, grow long, pop double").select(*GRID.split(F.col("gcol"), F.col("grow")), "pop")
+    square = box(X + 0.5 * C, Y - 9.5 * C, X + 9.5 * C, Y - 0.5 * C)
+    for turn in range(4):  # without its closing point another side is missing each time
+        ring = [{"x": x, "y": y} for x, y in [*square[turn:], *square[:turn]]]
+        area = spark.createDataFrame([(1, 1.0, [ring])], FEATURE)
+        assert coverage.mask_cells(cells, area, GRID).count() == 100
+        assert coverage.zone_cells(area, GRID, "building_id").count() == 100
+        assert coverage.footprint_fraction(area, GRID).count() == 100
+    bow_tie = [square[0], square[2], square[1], square[3]]
+    for points, reason in ((bow_tie, "crosses itself"), ([*square[:3], (math.nan, Y)], "no finite"), ([*square[:3], (math.inf, Y)], "no finite"), ([*square[:3], (X, 3e7)], "outside")):
+        area = polygons(spark, [(1, 1.0, [points])])
+        for spoiled in (coverage.mask_cells(cells, area, GRID), coverage.zone_cells(area, GRID, "building_id"), coverage.touched_tiles(area, GRID)):
+            with pytest.raises(Exception, match=f"unusable area, {reason}"):
+                spoiled.collect()
+        assert coverage.footprint_fraction(area, GRID).isEmpty()

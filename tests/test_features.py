@@ -30,15 +30,18 @@ def test_defects(spark):
         "fine": [closed(b)], "fine and round": [closed(circle(500, 1.0))], "none": None, "empty": [],
         "few": [closed(b)[:2] + closed(b)[:1]], "open": [closed(b)[:-1]], "flat": [closed([(0, 0), (5, 5), (9, 9)])],
         "eight": [closed(eight)], "long crossed": [closed(crossed)], "long crossed nearby": [closed(near)],
-        "crossed hole": [closed(box(-20, -20, 40, 40)), closed(eight)]}
+        "crossed hole": [closed(box(-20, -20, 40, 40)), closed(eight)], "empty hole": [closed(box(-20, -20, 40, 40)), closed(b)[:2]],
+        "twice": [[p for p in closed(b) for _ in "ab"]], "no number": [closed([*b[:3], (math.nan, 1)])], "endless": [closed([*b[:3], (math.inf, 1)])],
+        "far": [closed([*b[:3], (3e7, 1)])]}
     df = spark.createDataFrame([(k, v) for k, v in rings.items()], FEATURE.replace("building_id long, levels double", "name string"))
     got = {r.name: r.defect for r in features.check_polygons(df).collect()}
     assert got == {
-        "fine": None, "fine and round": None, "none": "empty", "empty": "empty", "few": "ring of fewer than 4 points", "open": "open ring",
+        "fine": None, "fine and round": None, "none": "empty", "empty": "empty", "few": "ring of fewer than 4 points", "open": None,
         "flat": "no area", "eight": "crosses itself", "long crossed": "crosses itself", "long crossed nearby": "crosses itself",
-        "crossed hole": "crosses itself"}
-    assert {r.name for r in features.valid_polygons(df).collect()} == {"fine", "fine and round"}
-    assert features.rejected_polygons(df).count() == len(rings) - 2
+        "crossed hole": None, "empty hole": None, "twice": None, "no number": "no finite coordinates", "endless": "no finite coordinates", "far": "outside the world"}
+    areas = {r.name: r.area for r in features.valid_polygons(df).select("name", polygon_moments("rings")["area"].alias("area")).collect()}
+    assert areas == pytest.approx({"fine": 100, "fine and round": areas["fine and round"], "open": 100, "crossed hole": 3600, "empty hole": 3600, "twice": 100})
+    assert features.rejected_polygons(df).count() == len(rings) - len(areas)
 
 
 def test_moments_with_hole(spark):
