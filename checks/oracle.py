@@ -314,12 +314,21 @@ def _dense(px: int) -> str:
         LEFT JOIN scored s ON t.tile_col = s.tile_col AND t.tile_row = s.tile_row AND c.i = s.cell_col AND r.i = s.cell_row)"""
 
 
-def _pyramid() -> str:
+def _levels(px: int) -> str:
     levels = []
     for zoom in range(12, -1, -1):
         f = 1 << (12 - zoom)
-        levels.append(f"SELECT {zoom} AS zoom, {split(256)}, round(sum(pop), 2) AS pop FROM (SELECT gc // {f} AS gc, gr // {f} AS gr, pop FROM pop_g) GROUP BY gc, gr")
-    return q([PIX, pop(256)], " UNION ALL ".join(levels))
+        levels.append(f"SELECT {zoom} AS zoom, {split(px)}, round(sum(pop), 2) AS pop FROM (SELECT gc // {f} AS gc, gr // {f} AS gr, pop FROM pop_g) GROUP BY gc, gr")
+    return " UNION ALL ".join(levels)
+
+
+def _pyramid() -> str:
+    return q([PIX, pop(256)], _levels(256))
+
+
+BARS = """(SELECT bucket, low + bucket * (high - low) / 100 AS low, low + (bucket + 1) * (high - low) / 100 AS high, count(*) AS cells
+        FROM (SELECT low, high, least(coalesce(floor((pop - low) / nullif((high - low) / 100, 0)), 0), 99)::BIGINT AS bucket
+              FROM pop, (SELECT min(pop) AS low, max(pop) AS high FROM pop)) GROUP BY bucket, low, high)"""
 
 
 def _change() -> str:
@@ -410,9 +419,7 @@ ORACLE: dict[str, str] = {
     "zonal_building_area": q([*osm(64), *zone_fractions(64), *cells_in_zones("osm", 64, "zo")],
                              """SELECT n.k AS code, round(coalesce(a.area_m2, 0), 2) AS area_m2, n.cells FROM (SELECT k, count(*) AS cells FROM zf GROUP BY k) n
                                 LEFT JOIN (SELECT code, sum(osm) AS area_m2 FROM zo GROUP BY code) a ON n.k = a.code"""),
-    "cell_histogram": q([PIX, pop(4)], """SELECT bucket, round(low + bucket * (high - low) / 100, 2) AS low, round(low + (bucket + 1) * (high - low) / 100, 2) AS high, count(*) AS cells
-        FROM (SELECT low, high, least(coalesce(floor((pop - low) / nullif((high - low) / 100, 0)), 0), 99)::BIGINT AS bucket
-              FROM pop, (SELECT min(pop) AS low, max(pop) AS high FROM pop)) GROUP BY bucket, low, high"""),
+    "cell_histogram": q([PIX, pop(4)], f"SELECT bucket, round(low, 2) AS low, round(high, 2) AS high, cells FROM {BARS}"),
     "pyramid_sum": _pyramid(),
     "fit_through_origin": q([*analysis(16), fit("model", "joined")], model()),
     "predict_footprint": q(scored(16), _cells("scored", pop=2, osm=2, prediction=2)),
@@ -431,5 +438,7 @@ ORACLE: dict[str, str] = {
     "train_labeled": q(labeled_model(), model()),
     "train_labeled_mask_both": q(labeled_model(mask_both=True), model()),
     "predict_unlabeled": q(SCORED_REPORT, report()),
+    "stored_model": q(SCORED_REPORT, report()),
+    "stored_pyramid": q([PIX, pop(4)], f"{_levels(4)} UNION ALL SELECT -1, bucket, cells, 0, 0, round(low, 2) FROM {BARS}"),
     "predict_labeled": q([*labeled_model(), pop(4), *osm(4), both(4), "scored AS (SELECT joined.*, coefficient * pop AS prediction FROM joined, model)", stats(), completeness()], report()),
 }

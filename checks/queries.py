@@ -424,6 +424,27 @@ def predict_labeled(spark, sf):
     return rounded(plans.predict_labeled(px, features, _train_labeled(spark, sf)), **REPORT_DIGITS)
 
 
+def stored_model(spark, sf):
+    """A model fitted by ``pyspark.ml``, saved, saved over, loaded and predicted with."""
+    px, features, path = fixtures.pixels(spark, sf), fixtures.features(spark, sf), f"{scratch_dir(spark)}/model"
+    model = regression.fit_ml(C.filter_both_valid(plans.analysis_cells(px, features, 16)))
+    regression.save_model(model, path)
+    regression.save_model(model, path, overwrite=True)
+    return rounded(plans.predict_unlabeled(px, features, regression.load_model(path)), **REPORT_DIGITS)
+
+
+def stored_pyramid(spark, sf):
+    """All levels of a pyramid that replaced another one, read back, and its histogram as level -1."""
+    path, pop = f"{scratch_dir(spark)}/pyramid", _pop(spark, sf, LABELED)
+    layers.write_pyramid(pop.withColumn("pop", F.col("pop") * 2), path, "pop", LABELED)
+    layers.write_pyramid(pop, path, "pop", LABELED)
+    levels = spark.read.parquet(f"{path}/levels").select(F.col("zoom").cast("int").alias("zoom"), *CELL_KEY, "pop")
+    bars = spark.read.parquet(f"{path}/histogram").select(
+        F.lit(-1).alias("zoom"), F.col("bucket").alias("tile_col"), F.col("cells").alias("tile_row"), F.lit(0).cast("bigint").alias("cell_col"),
+        F.lit(0).cast("bigint").alias("cell_row"), F.col("low").alias("pop"))
+    return rounded(levels.unionByName(bars), pop=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raster_tiles": raster_tiles,
     "raster_halo_tiles": raster_halo_tiles,
@@ -486,4 +507,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_labeled_mask_both": train_labeled_mask_both,
     "predict_unlabeled": predict_unlabeled,
     "predict_labeled": predict_labeled,
+    "stored_model": stored_model,
+    "stored_pyramid": stored_pyramid,
 }
