@@ -58,6 +58,18 @@ def _children(squares: DataFrame, crowded: DataFrame) -> DataFrame:
     return parent.join(crowded.select(*SQUARE), SQUARE, "left_semi")
 
 
+def leaf_squares(squares: DataFrame, crowded: DataFrame, depth: int) -> DataFrame:
+    """Squares that aren't split though their parent is: each building lies in exactly one."""
+    whole = squares.where((F.col("n") <= SQUARE_POINTS) | (F.col("depth") == depth))
+    below = _children(whole, crowded).selectExpr(*TILE_KEY, "to_depth AS depth", "to_sx AS sx", "to_sy AS sy", "to_n AS n")
+    return whole.where("depth = 0").select(*SQUARE, "n").unionByName(below)
+
+
+def file_points(points: DataFrame, leaves: DataFrame, grid: Grid, depth: int) -> DataFrame:
+    """Every point once, under the leaf square that holds it."""
+    return _in_squares(points, grid, depth).join(leaves.select(*SQUARE), SQUARE, "left_semi")
+
+
 def _prune(frontier: DataFrame, grid: Grid, k: int) -> DataFrame:
     """Drop the squares that lie beyond the distance within which k buildings are certain."""
     side = f"{grid.tile_size!r}D / power({SPLIT}D, depth)"
@@ -92,7 +104,7 @@ def knn_density_join(points: DataFrame, grid: Grid, k: int = 25, key: str = "bui
         depth = 0 if crowded_depth is None else crowded_depth + 1
     squares = squares_to(depth)
     crowded = squares.where((F.col("n") > SQUARE_POINTS) & (F.col("depth") < depth))
-    single = squares.where((F.col("n") <= SQUARE_POINTS) | (F.col("depth") == depth))
+    single = leaf_squares(squares, crowded, depth)
     step = _children(squares, crowded).unionByName(
         single.selectExpr(*SQUARE, "sx AS to_sx", "sy AS to_sy", "n AS to_n", "depth AS to_depth"))
 
@@ -107,7 +119,7 @@ def knn_density_join(points: DataFrame, grid: Grid, k: int = 25, key: str = "bui
         frontier = _prune(moved.selectExpr(
             *CELL_KEY, "east", "south", "to_depth AS depth", "to_sx AS sx", "to_sy AS sy", "to_n AS n"), grid, k)
 
-    filed = _in_squares(points, grid, depth).join(single.select(*SQUARE), SQUARE, "left_semi")
+    filed = file_points(points, single, grid, depth)
     filed = filed.selectExpr(*SQUARE, key, "weight", "east AS _east", "south AS _south")
     pairs = frontier.join(filed, SQUARE).selectExpr(
         *CELL_KEY, key, "weight", "hypot(_east - east, _south - south) AS distance")

@@ -61,3 +61,12 @@ def test_density_of_a_spot_is_null(spark):
     cells = density.knn_density(density.knn_density_join(spark.createDataFrame(at_centre, POINT), GRID))
     by_cell = {(r.cell_col, r.cell_row): r.density for r in cells.collect()}
     assert by_cell[0, 0] is None and by_cell[1, 0] == pytest.approx(5 / (math.pi * c * c))
+
+
+def test_every_point_is_filed_once(spark):
+    points = spark.createDataFrame(crowd(5), POINT)
+    depth = 4
+    squares = density._in_squares(points, GRID, depth).groupBy(*density.SQUARE).agg(F.count("*").alias("n"))
+    crowded = squares.where((F.col("n") > density.SQUARE_POINTS) & (F.col("depth") < depth))
+    leaves = density.leaf_squares(squares, crowded, depth)
+    assert density.file_points(points, leaves, GRID, depth).count() == points.count() == leaves.agg(F.sum("n")).first()[0]
