@@ -84,8 +84,9 @@ def _depths(parents: DataFrame) -> DataFrame:
     known = stored(parents.select("conv", "turn", "parent", F.col("parent").alias("up"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth")))
     while not known.where("up IS NOT NULL").isEmpty():
         above = known.select("conv", F.col("turn").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"))
-        known = stored(known.join(above, ["conv", "up"], "left").select(
-            "conv", "turn", "parent", F.col("_up").alias("up"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")))
+        moved = known.where("up IS NOT NULL").join(above, ["conv", "up"]).select(
+            "conv", "turn", "parent", F.col("_up").alias("up"), (F.col("depth") + F.col("_depth")).alias("depth"))
+        known = stored(known.where("up IS NULL").unionByName(moved))
     return known.select("conv", "turn", "parent", "depth")
 
 
