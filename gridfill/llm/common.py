@@ -54,6 +54,20 @@ def texts(column: pa.Array) -> list[str]:
     return column.fill_null("").to_pylist()
 
 
+_word_tables: list[dict] = []
+
+
+def only(*tables: dict, limit: int) -> None:
+    """Keeps a worker's memory to the word tables of one operator: empties all others, and those of over ``limit`` words."""
+    for known in _word_tables:
+        if not any(known is t for t in tables):
+            known.clear()
+    _word_tables[:] = tables
+    for table in tables:
+        if len(table) > limit:
+            table.clear()
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``function`` over the Arrow batches of ``df``, each on its own.
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridfill.llm.common import blocks_of, components, least_root, map_batches, map_groups, mix64, stored, utf8
+from gridfill.llm.common import blocks_of, components, least_root, map_batches, map_groups, mix64, only, stored, utf8
 
 BANDS, ROWS = 32, 4
 """A pair at similarity 0.8 shares no band with probability (1 - 0.8 ** 4) ** 32 = 5e-8."""
@@ -22,7 +22,7 @@ SKETCH_ERRORS = 4.5
 PERCENT = 80
 BLOCK, SKETCH_BLOCK = 256, 1024
 CHUNK = 1_000_000
-CACHE = 500_000
+CACHE = 300_000
 
 _SEEDS = np.random.default_rng(11).integers(1, 1 << 32, (BANDS * ROWS, 2), dtype=np.uint64).astype(np.uint32)
 _SEEDS[:, 0] |= 1
@@ -41,9 +41,8 @@ def shingle_set(text: bytes, n: int) -> np.ndarray:
     """The sorted 64-bit hashes of the different runs of ``n`` words of UTF-8 text, split at ASCII white space, A-Z in lower
     case. Of fewer words, but not none, the whole sequence is one shingle."""
     split = text.lower().split()
+    only(_words, limit=CACHE)
     words = np.fromiter(map(_words.__getitem__, split), np.uint64, len(split))
-    if len(_words) > CACHE:
-        _words.clear()
     if not len(words):
         return words
     k = min(n, len(words))

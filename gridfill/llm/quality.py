@@ -13,14 +13,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridfill.llm.common import lists, map_batches, map_groups, stored, texts
+from gridfill.llm.common import lists, map_batches, map_groups, only, stored, texts
 
 BITS = 18
 SHAPES = 4096
 LABEL_TRUST = 0.99
 STEM = 5
 STEMS = range(4, 9)
-CACHE = 400_000
+CACHE = 300_000
 
 INSULTS = """
     arschloch asshole bastard bête clown conne connard crétin crap depp disgusting dumb dummkopf estúpido freak garbage
@@ -33,7 +33,9 @@ LOW = ("capitals", "marks", "symbols", "repetition", "echo", "run-on", "prose")
 TOXIC = ("insults", "insult share", "learned words")
 """The labellers. Most know one kind of fault and keep silent otherwise; "prose" finds none, "insults" votes either way."""
 
-_EDGE = re.compile(r"^[^\w]+|[^\w]+$")
+_EDGE = "".join(chr(i) for i in range(33, 192) if not chr(i).isalnum())
+_KINDS = {i: "A" if chr(i).isupper() else "a" if chr(i).isalpha() else "0" for i in range(1 << 16) if chr(i).isalnum()}
+_LOWER_RUN, _UPPER_RUN = re.compile("a{2,}"), re.compile("A{2,}")
 _MARKS = re.compile(r"[^\w\s.,;:?'\"()-]{2,}$|^[^\w\s]+$|[!?]{2,}$")
 _PLAIN = bytes(range(0x30, 0x3A)) + bytes(range(0x41, 0x5B)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100)) + b" \t\r\n"
 
@@ -52,23 +54,36 @@ class Settings:
     reject: float = 0.5
 
 
-class _Words(dict):
-    """Per word: its hashed feature, that of its stem, its shape, and flags, packed into one number."""
+class _Flags(dict):
+    """Per word: whether it is in capitals, marked, at a sentence's end, an insult, or taught by labels, as bits of a number."""
 
     def __init__(self, lexicon: frozenset[str]):
         super().__init__()
         self.lexicon = lexicon
 
     def __missing__(self, word: str) -> int:
-        core = _EDGE.sub("", word).lower()
-        letters = re.sub(r"[\d_]", "", core)
-        shape = re.sub(r"a{2,}", "a", re.sub(r"A{2,}", "AA", "".join(
-            "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:40])))[:8]
-        upper = len(letters) > 1 and word.isupper()
-        flags = upper | bool(_MARKS.search(word)) << 1 | word.endswith((".", "!", "?")) << 2 | (core in _INSULTS) << 3
-        flags |= any(core[:k] in self.lexicon for k in (*STEMS, None)) << 4
-        value = _hash(core) % (1 << BITS) | _hash(shape) % SHAPES << BITS | _hash(core[:STEM] + "-") % (1 << BITS) << 30 | flags << 48
-        self[word] = value
+        value = self[word] = self.flags(word, self.core(word))
+        return value
+
+    def core(self, word: str) -> str:
+        return (word if word.isalpha() else word.strip(_EDGE)).lower()
+
+    def flags(self, word: str, core: str) -> int:
+        marked = not word.isalpha() and bool(_MARKS.search(word))
+        flags = (len(core) > 1 and word.isupper()) | marked << 1 | (word[-1] in ".!?") << 2 | (core in _INSULTS) << 3
+        if self.lexicon:
+            flags |= any(core[:k] in self.lexicon for k in (*STEMS, None)) << 4
+        return flags
+
+
+class _Words(_Flags):
+    """Per word: its hashed feature, that of its stem, its shape, and its flags, packed into one number."""
+
+    def __missing__(self, word: str) -> int:
+        core = self.core(word)
+        shape = _UPPER_RUN.sub("AA", _LOWER_RUN.sub("a", word[:40].translate(_KINDS)))[:8]
+        value = self[word] = (_hash(core) % (1 << BITS) | _hash(shape) % SHAPES << BITS | _hash(core[:STEM] + "-") % (1 << BITS) << 30
+                              | self.flags(word, core) << 48)
         return value
 
 
@@ -77,47 +92,59 @@ def _hash(word: str) -> int:
 
 
 _INSULTS = frozenset(INSULTS)
-_tables: dict[frozenset[str], _Words] = {}
+_tables: dict[tuple[type, frozenset[str]], _Flags] = {}
 
 
-def _table(lexicon: frozenset[str]) -> _Words:
-    table = _tables.get(lexicon)
-    if table is None:
+def _table(kind: type, lexicon: frozenset[str]) -> _Flags:
+    if (kind, lexicon) not in _tables:
         _tables.clear()
-        table = _tables[lexicon] = _Words(lexicon)
-    if len(table) > CACHE:
-        table.clear()
+        _tables[kind, lexicon] = kind(lexicon)
+    table = _tables[kind, lexicon]
+    only(table, limit=CACHE)
     return table
 
 
-def describe(text: str, table: _Words) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """The votes of the labellers (1 bad, -1 good, 0 none) but those by label, and the hashed features and values of a text."""
+def _votes(share: list[float], symbols: float, top: float, echo: float, span: float, n: int) -> list[int]:
+    prose = share[0] < 0.1 and share[1] < 0.03 and symbols < 0.06 and top < 0.2 and echo < 0.05 and span < 60
+    votes = [share[0] > 0.2, share[1] > 0.08, symbols > 0.1, top > 0.3 and n >= 10, echo > 0.15 and n >= 10, span > 80, -prose,
+             1 if share[3] else -1, share[3] > 0.004, share[4] > 0]
+    return [int(v) for v in votes]
+
+
+def describe(text: str, table: _Flags) -> list[int] | tuple[np.ndarray, np.ndarray]:
+    """The votes of the labellers (1 bad, -1 good, 0 none) by a table of flags, or the hashed features and values of a text by a
+    table of words."""
+    votes = not isinstance(table, _Words)
     words = text.split()
     n = len(words)
     counts = Counter(words)
     packed = np.fromiter(map(table.__getitem__, counts), np.int64, len(counts))
     times = np.fromiter(counts.values(), np.float64, len(counts))
-    flags = packed >> 48
-    share = [float(times[(flags >> k & 1).astype(bool)].sum()) / max(n, 1) for k in range(5)]
+    flags = packed if votes else packed >> 48
+    some = np.flatnonzero(flags)
+    share = [float(times[some[(flags[some] >> k & 1) > 0]].sum()) / max(n, 1) for k in range(5)]
     raw = text.encode()
     symbols = len(raw.translate(None, _PLAIN)) / max(len(raw), 1)
     top = float(times.max()) / n if n else 1.0
     echo = sum(map(eq, words, words[1:])) / max(n, 1)
     span = n / (share[2] * n + 1)
 
-    prose = share[0] < 0.1 and share[1] < 0.03 and symbols < 0.06 and top < 0.2 and echo < 0.05 and span < 60
-    votes = [share[0] > 0.2, share[1] > 0.08, symbols > 0.1, top > 0.3 and n >= 10, echo > 0.15 and n >= 10, span > 80, -prose,
-             1 if share[3] else -1, share[3] > 0.004, share[4] > 0]
-    votes = [int(v) for v in votes]
+    if votes:
+        return _votes(share, symbols, top, echo, span, n)
     shapes = np.bincount(packed >> BITS & SHAPES - 1, times)
     kinds = np.flatnonzero(shapes)
     bucket = (1 << BITS) + SHAPES
     steps = [bucket + min(9, int(10 * top)), bucket + 10 + min(9, int(20 * echo)), bucket + 20 + min(9, int(np.log2(n + 1))), bucket + 30 + min(9, int(50 * symbols)),
              bucket + 40 + min(9, int(np.log2(span + 1)))]
-    features = np.concatenate((np.unique(np.concatenate((packed, packed >> 30)) & (1 << BITS) - 1), (1 << BITS) + kinds, steps))
+    features = np.concatenate((_distinct(np.concatenate((packed, packed >> 30)) & (1 << BITS) - 1), (1 << BITS) + kinds, steps))
     values = np.ones(len(features))
     values[len(features) - len(steps) - len(kinds): len(features) - len(steps)] = 4 * shapes[kinds] / max(n, 1)
-    return votes, features, values
+    return features, values
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x.sort()
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
 
 
 N_FEATURES = (1 << BITS) + SHAPES + 50
@@ -173,8 +200,8 @@ def _posteriors(votes: DataFrame, columns: slice, gold: str) -> DataFrame:
 
 def _vote(documents: DataFrame, lexicon: frozenset[str]) -> DataFrame:
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        table = _table(lexicon)
-        votes = [describe(t, table)[0] for t in texts(batch.column(1))]
+        table = _table(_Flags, lexicon)
+        votes = [describe(t, table) for t in texts(batch.column(1))]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.list_(pa.int32()))], names=["doc_id", "votes"])
 
     return map_batches(documents.select("doc_id", "text"), one, "doc_id long, votes array<int>")
@@ -184,8 +211,8 @@ def _features(documents: DataFrame, lexicon: frozenset[str]) -> DataFrame:
     """``one, features, values, p_low, p_toxic`` of a sample, for one training task."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        table = _table(lexicon)
-        rows = [describe(t, table)[1:] for t in texts(batch.column(0))]
+        table = _table(_Words, lexicon)
+        rows = [describe(t, table) for t in texts(batch.column(0))]
         n = np.array([len(f) for f, _ in rows])
         features, values = (np.concatenate(x) for x in zip(*rows, strict=True))
         return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(rows), np.int32)), lists(features.astype(np.int32), n, pa.int32()), lists(values, n, pa.float64()), batch.column(1), batch.column(2)],
@@ -276,10 +303,10 @@ def score(documents: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         weights, lexicon = shared.value
-        table = _table(lexicon)
+        table = _table(_Words, lexicon)
         out = np.zeros((batch.num_rows, 2))
         for i, t in enumerate(texts(batch.column(kept.index(text)))):
-            _, features, values = describe(t, table)
+            features, values = describe(t, table)
             out[i] = weights[:, features] @ values + weights[:, -1]
         p = 1 / (1 + np.exp(-np.clip(out, -30, 30)))
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(p[:, 0]), pa.array(p[:, 1])], names=[*kept, "p_low", "p_toxic"])

@@ -6,7 +6,9 @@ import re
 
 import numpy as np
 
-CACHE = 400_000
+from gridfill.llm.common import only
+
+CACHE = 300_000
 """Entries of a worker's word tables; a full table is emptied."""
 
 # Latin-1 text, one byte a character: capitals to small letters, and the white space outside ASCII to a space.
@@ -46,13 +48,12 @@ class WordTokens:
             return self._whole(text)
         if _CONTROL.search(raw):
             return self._whole(text)
+        only(self.words, self.pieces, limit=CACHE)
         words = raw.translate(_LOW).split()
         parts = list(map(self.words.get, words))
         if None in parts:
             self._learn({w for w, p in zip(words, parts, strict=True) if p is None})
             parts = [self.words[w] if p is None else p for w, p in zip(words, parts, strict=True)]
-            if len(self.words) > CACHE:
-                self.words.clear()
         return b"".join(parts)
 
     def _whole(self, text: str) -> bytes:
@@ -71,8 +72,6 @@ class WordTokens:
                 self.pieces.update((p, self._whole(p)) for p in new)
         for w, pieces in split.items():
             self.words[w] = b"".join([self.pieces[p] for p in pieces])
-        if len(self.pieces) > CACHE:
-            self.pieces.clear()
 
 
 _loaded: dict[str, WordTokens] = {}
