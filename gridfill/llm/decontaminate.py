@@ -198,13 +198,12 @@ def _scan_block(documents: DataFrame, items: list[tuple[str, bytes]], window: in
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
     """``documents`` without the rows in which any test window occurs; its columns stay as they are."""
-    found = scan(documents.withColumn("_text", F.col(text)).withColumn("_row", F.struct(*documents.columns)).select("_row", "_text"), benchmark, window, text="_text")
+    found = scan(documents.select(F.struct(*documents.columns).alias("_row"), F.col(text).alias("_text")), benchmark, window, text="_text")
     return found.where("n_hit = 0").select("_row.*")
 
 
 def cut_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
-    """``documents`` with every hit run of words cut out of its text, up to the next word that stays."""
-    own = [x.split()[0] for x in FINDINGS.split(", ")]
+    """``documents`` with every hit run of words cut out of its text, up to the next word that stays; a null text stays null."""
     found = scan(documents.select(F.struct(*documents.columns).alias("_row"), F.col(text).alias("_text")), benchmark, window, text="_text")
     # Splitting at word starts gives one piece a word: the word and what stands behind it, and first what stands before all words.
     pieces = F.split("_text", r"(?<![^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])(?=[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])")
@@ -212,4 +211,4 @@ def cut_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = W
     inside = lambda i: F.exists(F.arrays_zip("hit_from", "hit_to"), lambda s: (i - lead >= s["hit_from"]) & (i - lead < s["hit_to"]))
     left = F.concat_ws("", F.transform(F.filter(F.transform(pieces, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda p: ~inside(p["i"])), lambda p: p["x"]))
     text_out = F.when(F.col("n_hit") > 0, left).otherwise(F.col("_text"))
-    return found.select(*[text_out.alias(text) if c == text else F.col("_row")[c].alias(c) for c in documents.columns]).select(*[c for c in documents.columns if c not in own or c in documents.columns])
+    return found.select(*[text_out.alias(text) if c == text else F.col("_row")[c].alias(c) for c in documents.columns])

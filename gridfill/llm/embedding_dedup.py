@@ -42,7 +42,7 @@ def sign_codes(vectors: DataFrame, bits: int, tables: int, seed: int) -> DataFra
             rows = np.flatnonzero(width == d)
             x = values[cut[rows][:, None] + np.arange(d)]
             signs = (x @ planes[d] > 0).reshape(len(rows), tables, bits)
-            codes[rows] = signs @ weights + (d % 1024 << 32)  # vectors of different widths never meet
+            codes[rows] = signs @ weights + (d << 32)  # vectors of different widths never meet
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(codes), pa.list_(pa.int64()))], names=["id", "codes"])
 
     return map_batches(vectors.select("id", "embedding"), one, "id long, codes array<long>")
