@@ -16,6 +16,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+ROWS = 1000
+
 _own_folder: list[str] = []
 
 
@@ -69,7 +71,7 @@ def only(*tables: dict, limit: int) -> None:
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``function`` over the Arrow batches of ``df``, each on its own.
+    """``function`` over the Arrow batches of ``df``, up to ``ROWS`` rows at a time; it must look at each row for itself.
 
     Workers import this package: on a cluster it comes by ``--py-files``; workers on this machine find it here.
     """
@@ -77,9 +79,10 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = function(batch)
-            if out is not None and out.num_rows:
-                yield out
+            for row in range(0, batch.num_rows, ROWS):  # Python objects of a few rows at a time
+                out = function(batch.slice(row, ROWS))
+                if out is not None and out.num_rows:
+                    yield out
 
     return df.mapInArrow(run, schema)
 

@@ -22,7 +22,7 @@ SKETCH_ERRORS = 4.5
 PERCENT = 80
 BLOCK, SKETCH_BLOCK = 256, 1024
 CHUNK = 1_000_000
-CACHE = 300_000
+CACHE = 100_000
 
 _SEEDS = np.random.default_rng(11).integers(1, 1 << 32, (BANDS * ROWS, 2), dtype=np.uint64).astype(np.uint32)
 _SEEDS[:, 0] |= 1

@@ -215,10 +215,10 @@ def _features(documents: DataFrame, lexicon: frozenset[str]) -> DataFrame:
         rows = [describe(t, table) for t in texts(batch.column(0))]
         n = np.array([len(f) for f, _ in rows])
         features, values = (np.concatenate(x) for x in zip(*rows, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(rows), np.int32)), lists(features.astype(np.int32), n, pa.int32()), lists(values, n, pa.float64()), batch.column(1), batch.column(2)],
+        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(rows), np.int32)), lists(features.astype(np.int32), n, pa.int32()), lists(values.astype(np.float32), n, pa.float32()), batch.column(1), batch.column(2)],
                                           names=["one", "features", "values", "p_low", "p_toxic"])
 
-    return map_batches(documents.select("text", "p_low", "p_toxic"), one, "one int, features array<int>, values array<double>, p_low double, p_toxic double")
+    return map_batches(documents.select("text", "p_low", "p_toxic"), one, "one int, features array<int>, values array<float>, p_low double, p_toxic double")
 
 
 def fit_logistic(feature: np.ndarray, value: np.ndarray, cut: np.ndarray, target: np.ndarray, rounds: int = 4, rate: float = 0.3,
@@ -243,11 +243,12 @@ def _weights(total: np.ndarray, squares: np.ndarray, rate: float, l1: float, l2:
 
 
 def _train(rows: pa.RecordBatch, bounds: np.ndarray) -> pa.RecordBatch:
-    feature, value = rows.column(1).flatten().to_numpy().astype(np.int64), rows.column(2).flatten().to_numpy()
-    row = np.repeat(np.arange(rows.num_rows), rows.column(1).value_lengths().to_numpy())
+    feature, value = rows.column(1).flatten().to_numpy(), rows.column(2).flatten().to_numpy()
     keep = np.bincount(feature, minlength=N_FEATURES)[feature] >= 3
-    cut = np.concatenate(([0], np.cumsum(np.bincount(row[keep], minlength=rows.num_rows))))
-    scorers = [fit_logistic(feature[keep], value[keep], cut, rows.column(i).to_numpy()) for i in (3, 4)]
+    ends = np.cumsum(rows.column(1).value_lengths().to_numpy())
+    cut = np.concatenate(([0], np.cumsum(keep)[ends - 1])) if len(ends) else np.zeros(1, np.int64)  # no row is without features
+    feature, value = feature[keep], value[keep]
+    scorers = [fit_logistic(feature, value, cut, rows.column(i).to_numpy()) for i in (3, 4)]
     table = np.stack([np.append(w, b) for w, b in scorers])
     at = np.flatnonzero((table != 0).any(axis=0))
     return pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[0, at]), pa.array(table[1, at])], names=["feature", "low", "toxic"])

@@ -8,7 +8,7 @@ import numpy as np
 
 from gridfill.llm.common import only
 
-CACHE = 300_000
+CACHE = 400_000
 """Entries of a worker's word tables; a full table is emptied."""
 
 # Latin-1 text, one byte a character: capitals to small letters, and the white space outside ASCII to a space.
