@@ -23,7 +23,8 @@ class WordTokens:
     """Ids of texts under a tokenizer that lower-cases, drops white space and works on each word for itself.
 
     Latin-1 texts are split into words here; a word is tokenized once and then looked up. Other texts (and such with
-    separators that libraries disagree on) go to the tokenizer whole. Either way the ids are the tokenizer's own.
+    separators that libraries disagree on, or with a literal that the tokenizer knows as one token of its own, like
+    ``<|endoftext|>``) go to the tokenizer whole. Either way the ids are the tokenizer's own, as its file sets it up.
     """
 
     def __init__(self, path: str):
@@ -33,7 +34,8 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile(b"|".join(map(re.escape, added)) or b"(?!)")
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -48,8 +50,11 @@ class WordTokens:
             return self._whole(text)
         if _CONTROL.search(raw):
             return self._whole(text)
+        raw = raw.translate(_LOW)
+        if self.added.search(raw):
+            return self._whole(text)
         only(self.words, self.pieces, limit=CACHE)
-        words = raw.translate(_LOW).split()
+        words = raw.split()
         parts = list(map(self.words.get, words))
         if None in parts:
             self._learn({w for w, p in zip(words, parts, strict=True) if p is None})

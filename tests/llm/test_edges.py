@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from tokenizers import Tokenizer
 
 from gridfill.llm import common, decontaminate, embedding_dedup, line_dedup, near_dedup, packing, quality, queries, quotes, repeats, secret_scan, url_rules
 from gridfill.llm.tokens import WordTokens
@@ -203,6 +204,17 @@ def test_tokens_are_the_tokenizers_own():
         assert own.packed(text) == own._whole(text)
 
 
+def test_tokens_of_texts_that_hold_special_tokens(spark):
+    plain = Tokenizer.from_file(queries.tokenizer_file())
+    own = WordTokens(queries.tokenizer_file())
+    documents = list(enumerate(["see <|endoftext|> here", "a<|startoftext|>b", "<|endoftext|><|endoftext|>", "<|ENDOFTEXT|> x", "é “q” <|endoftext|>", "<|end oftext|>", "word <|endoftext|> " * 2000, LONG[:3000]]))
+    for _, text in documents:
+        assert np.frombuffer(own.packed(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(own.packed(documents[0][1]), "<u4").tolist() == [862, 49407, 763]
+    got = packing.pack_documents(spark.createDataFrame(documents, TEXT), queries.tokenizer_file())
+    assert rows(got, "doc_id", "piece", "start", "length", "ids_crc32") == sorted(brute.token_pieces(documents, plain), key=repr)
+
+
 def test_packing(spark):
     tokenizer = queries.tokenizer_file()
     documents = [(1, None), (2, ""), (3, "one two three"), (3, "one two three"), (None, "one"), (4, LONG), *[(10 + i, "same words again " * (i % 40)) for i in range(200)]]
