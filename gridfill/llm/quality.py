@@ -44,12 +44,16 @@ _PLAIN = bytes(range(0x30, 0x3A)) + bytes(range(0x41, 0x5B)) + bytes(range(0x61,
 class Settings:
     """Bounds of the samples that are fitted on; everything else sees all rows.
 
-    ``labelled`` rows with labels teach the learned-words labeller at most, ``sample`` rows with posteriors the scorer. Both
-    are the rows with the least hashes of their ids, so they are the same ones wherever the table is read.
+    ``labelled`` rows with labels teach the learned-words labeller at most, ``sample`` rows with posteriors the scorer: a
+    share of ``gold`` with labels and the rest without, at every size; where one kind is too few, the other fills up. All
+    are the rows with the least hashes of their ids, so they are the same ones wherever the table is read. A posterior
+    without a label counts ``weak`` times as much as a label, since labellers miss faults that labels show.
     """
 
     labelled: int = 8000
     sample: int = 8000
+    gold: float = 0.8
+    weak: float = 0.2
     lexicon: int = 500
     reject: float = 0.5
 
@@ -198,6 +202,15 @@ def _posteriors(votes: DataFrame, columns: slice, gold: str) -> DataFrame:
     return votes.sparkSession.createDataFrame([(",".join(map(str, p)), float(b)) for p, b in zip(patterns.tolist(), bad, strict=True)], "key string, p double")
 
 
+def _chosen(votes: DataFrame, settings: Settings) -> DataFrame:
+    """The rows of ``votes`` that the scorer learns from: so many with and without labels as ``settings`` says."""
+    rows = votes.where("doc_id IS NOT NULL").withColumn("known", (F.col("gold_low") != 0) | (F.col("gold_toxic") != 0))
+    n = {r.known: r.n for r in rows.groupBy("known").agg(F.count("*").alias("n")).collect()}
+    known = min(n.get(True, 0), max(round(settings.gold * settings.sample), settings.sample - n.get(False, 0)))
+    least = lambda of, k: rows.where(of).orderBy(F.xxhash64("doc_id"), "doc_id").limit(k)
+    return least(F.col("known"), known).union(least(~F.col("known"), settings.sample - known)).drop("known")
+
+
 def _vote(documents: DataFrame, lexicon: frozenset[str]) -> DataFrame:
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         table = _table(_Flags, lexicon)
@@ -208,29 +221,30 @@ def _vote(documents: DataFrame, lexicon: frozenset[str]) -> DataFrame:
 
 
 def _features(documents: DataFrame, lexicon: frozenset[str]) -> DataFrame:
-    """``one, features, values, p_low, p_toxic`` of a sample, for one training task."""
+    """``one, features, values, p_low, p_toxic, w_low, w_toxic`` of a sample, for one training task."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         table = _table(_Words, lexicon)
         rows = [describe(t, table) for t in texts(batch.column(0))]
         n = np.array([len(f) for f, _ in rows])
         features, values = (np.concatenate(x) for x in zip(*rows, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(rows), np.int32)), lists(features.astype(np.int32), n, pa.int32()), lists(values.astype(np.float32), n, pa.float32()), batch.column(1), batch.column(2)],
-                                          names=["one", "features", "values", "p_low", "p_toxic"])
+        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(rows), np.int32)), lists(features.astype(np.int32), n, pa.int32()), lists(values.astype(np.float32), n, pa.float32()), *batch.columns[1:]],
+                                          names=["one", "features", "values", "p_low", "p_toxic", "w_low", "w_toxic"])
 
-    return map_batches(documents.select("text", "p_low", "p_toxic"), one, "one int, features array<int>, values array<float>, p_low double, p_toxic double")
+    return map_batches(documents.select("text", "p_low", "p_toxic", "w_low", "w_toxic"), one,
+                       "one int, features array<int>, values array<float>, p_low double, p_toxic double, w_low double, w_toxic double")
 
 
-def fit_logistic(feature: np.ndarray, value: np.ndarray, cut: np.ndarray, target: np.ndarray, rounds: int = 4, rate: float = 0.3,
+def fit_logistic(feature: np.ndarray, value: np.ndarray, cut: np.ndarray, target: np.ndarray, trust: np.ndarray, rounds: int = 4, rate: float = 0.3,
                  l1: float = 1.0, l2: float = 0.1) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic model of soft targets, by follow-the-regularised-leader: one row at a time, every
+    """Weights and bias of a logistic model of soft targets of some ``trust``, by follow-the-regularised-leader: one row at a time, every
     feature with a learning rate of its own, and weight 0 until its gradients outweigh ``l1``."""
     total, squares = np.zeros(N_FEATURES + 1), np.zeros(N_FEATURES + 1)
     for turn in range(rounds):
         for i in np.random.default_rng(turn).permutation(len(target)).tolist():
             at, x = np.append(feature[cut[i]: cut[i + 1]], N_FEATURES), np.append(value[cut[i]: cut[i + 1]], 1.0)
             w = _weights(total[at], squares[at], rate, l1, l2)
-            gradient = (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - target[i]) * x
+            gradient = (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - target[i]) * trust[i] * x
             grown = squares[at] + gradient * gradient
             total[at] += gradient - (np.sqrt(grown) - np.sqrt(squares[at])) / rate * w
             squares[at] = grown
@@ -248,7 +262,7 @@ def _train(rows: pa.RecordBatch, bounds: np.ndarray) -> pa.RecordBatch:
     ends = np.cumsum(rows.column(1).value_lengths().to_numpy())
     cut = np.concatenate(([0], np.cumsum(keep)[ends - 1])) if len(ends) else np.zeros(1, np.int64)  # no row is without features
     feature, value = feature[keep], value[keep]
-    scorers = [fit_logistic(feature, value, cut, rows.column(i).to_numpy()) for i in (3, 4)]
+    scorers = [fit_logistic(feature, value, cut, rows.column(i).to_numpy(), rows.column(i + 2).to_numpy()) for i in (3, 4)]
     table = np.stack([np.append(w, b) for w, b in scorers])
     at = np.flatnonzero((table != 0).any(axis=0))
     return pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[0, at]), pa.array(table[1, at])], names=["feature", "low", "toxic"])
@@ -267,7 +281,8 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
 
     Heuristic labellers vote on every document. How often each vote comes with either truth is estimated by EM from the
     counts of vote patterns over all documents; a label, where there is one, is taken for the truth. The posteriors of a
-    bounded sample, labelled rows first, then train two hashed linear scorers, for low quality and for toxicity, in one task.
+    bounded sample, part of it always without labels, then train two hashed linear scorers, for low quality and for toxicity, in
+    one task.
 
     Null texts count as empty. Of several labels of one id the worst counts; null ids and labels don't. Without documents
     all weights are 0.
@@ -280,11 +295,12 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
     votes = stored(_vote(documents, lexicon).join(gold, "doc_id", "left").select(
         "doc_id", "votes", F.coalesce(1 - 2 * F.col("quality"), F.lit(0)).cast("int").alias("gold_low"), F.coalesce(2 * F.col("toxic") - 1, F.lit(0)).cast("int").alias("gold_toxic")))
     low, toxic = slice(0, len(LOW)), slice(len(LOW), len(LOW) + len(TOXIC))
-    chosen = votes.where("doc_id IS NOT NULL").orderBy((F.col("gold_low") == 0) & (F.col("gold_toxic") == 0), F.xxhash64("doc_id"), "doc_id").limit(settings.sample)
+    chosen = _chosen(votes, settings)
     for part, name, gold_name in ((low, "p_low", "gold_low"), (toxic, "p_toxic", "gold_toxic")):
         key = F.array_join(F.concat(F.slice("votes", part.start + 1, part.stop - part.start), F.array(F.col(gold_name))), ",")
         chosen = chosen.withColumn("key", key).join(F.broadcast(_posteriors(votes, part, gold_name)), "key").drop("key").withColumnRenamed("p", name)
-    chosen = stored(chosen.select("doc_id", "p_low", "p_toxic").dropDuplicates(["doc_id"]))
+        chosen = chosen.withColumn(name.replace("p_", "w_"), F.when(F.col(gold_name) != 0, 1.0).otherwise(settings.weak))
+    chosen = stored(chosen.select("doc_id", "p_low", "p_toxic", "w_low", "w_toxic").dropDuplicates(["doc_id"]))
     sample = stored(_features(documents.join(F.broadcast(chosen), "doc_id"), lexicon))
     rows = map_groups(sample, ["one"], _train, "feature long, low double, toxic double").collect()
     weights = np.zeros((2, N_FEATURES + 1))

@@ -128,6 +128,17 @@ def test_quality(spark):
     assert quality.score(table, quality.fit(table, labels.limit(0))).count() == len(documents)
 
 
+def test_unlabelled_documents_teach_the_scorer_at_every_size(spark):
+    clean = [f"The river number {i} runs past the old town. It bends twice before the bridge." for i in range(1000)]
+    junk = [f"WORD{i}!! SHOUT!! NOISE%%% ###### $$$ MORE!! &&& CAPS{i}!!" for i in range(300)]
+    toxic = [f"The clown number {i} is a worthless idiot. He is pathetic scum." for i in range(300)]
+    table = spark.createDataFrame(list(enumerate([*clean, *junk, *toxic])), TEXT)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(700)], "doc_id long, quality int, toxic int")  # more than the sample, all good
+    scored = {r.doc_id: r for r in quality.score(table, quality.fit(table, labels, quality.Settings(sample=600))).collect()}
+    assert all(scored[i].p_low < 0.5 and scored[i].p_toxic < 0.5 for i in range(1000))
+    assert all(scored[i].p_low > 0.5 for i in range(1000, 1300)) and all(scored[i].p_toxic > 0.5 for i in range(1300, 1600))
+
+
 def test_accuracies_find_the_better_labeller():
     pick = np.random.default_rng(5)
     truth = pick.random(4000) < 0.3
