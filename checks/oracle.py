@@ -390,7 +390,7 @@ ORACLE: dict[str, str] = {
     "building_levels": f"SELECT k AS building_id, {LEVELS} AS levels FROM (SELECT p_partkey AS k FROM part)",
     "valid_polygons": _defects(),
     "filter_both_valid": q(analysis(16), _cells("joined", pop=2, osm=2) + " WHERE pop IS NOT NULL AND osm IS NOT NULL"),
-    "fill_missing_footprint": q(analysis(16) + ["filled AS (SELECT * REPLACE (coalesce(osm, 0) AS osm) FROM joined)"], _cells("filled", pop=2, osm=2)),
+    "fill_missing_footprint": q(analysis(16) + ["filled AS (SELECT * REPLACE (coalesce(osm, 0) AS osm) FROM joined WHERE pop IS NOT NULL)"], _cells("filled", pop=2, osm=2)),
     "slug": "SELECT p_partkey AS k, replace(lower(p_name || ' ' || p_type), ' ', '_') AS slug FROM part",
     "cell_center": q([PIX, pop(256)], f"""SELECT {KEYS}, round((tile_col * 256 + cell_col + 0.5::DOUBLE) * {cell(256)} - {W}, 3) AS x,
         round({W} - (tile_row * 256 + cell_row + 0.5::DOUBLE) * {cell(256)}, 3) AS y FROM pop"""),
@@ -408,7 +408,7 @@ ORACLE: dict[str, str] = {
     "pop_grid": q([PIX, pop(256)], _cells("pop", pop=2)),
     "resample_sum": q([*analysis(256), "small AS (SELECT tile_col, tile_row, cell_col // 64 AS cell_col, cell_row // 64 AS cell_row, sum(pop) AS pop, sum(osm) AS osm FROM joined GROUP BY ALL)"],
                       _cells("small", pop=2, osm=2)),
-    "resample_multiband": q([*analysis(16), """bands AS (SELECT tile_col, tile_row, cell_col, cell_row, 0 AS band, pop AS value FROM joined
+    "resample_multiband": q([*analysis(16), """bands AS (SELECT tile_col, tile_row, cell_col, cell_row, 0 AS band, pop AS value FROM joined WHERE pop IS NOT NULL
         UNION ALL SELECT tile_col, tile_row, cell_col, cell_row, 1, osm FROM joined WHERE osm IS NOT NULL)"""],
                             "SELECT tile_col, tile_row, cell_col // 4 AS cell_col, cell_row // 4 AS cell_row, band, round(sum(value), 2) AS value FROM bands GROUP BY ALL"),
     "footprint_grid": q(osm(256), _cells("osm", osm=2)),
