@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridfill.llm import decontaminate, embedding_dedup, line_dedup, near_dedup, packing, quality, quotes, repeats, secret_scan, url_rules
+from gridfill.llm import decontaminate, embedding_dedup, filter_audit, html_text, infill, line_dedup, near_dedup, packing, quality, quotes, repeats, secret_scan, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,4 +89,23 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, tokenizer_file())
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quotes, op3_near_dedup, op4_repeats, op5_quality, op6_url_rules, op7_embedding_dedup, op8_line_dedup, op9_secret_scan, op10_packing)}
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents rearranged for filling in the middle, and what they are rebuilt to."""
+    done = infill.fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters keep and lose in every order, for each source."""
+    return filter_audit.audit(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), _table(spark, sf_dir, "labels"))
+
+
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return html_text.extract_text(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_decontaminate, op2_quotes, op3_near_dedup, op4_repeats, op5_quality, op6_url_rules, op7_embedding_dedup, op8_line_dedup,
+    op9_secret_scan, op10_packing, op11_infill, op12_filter_audit, op13_html_text)}
