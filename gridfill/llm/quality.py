@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 from operator import eq
 
 import numpy as np
@@ -12,6 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructField, StructType
 
 from gridfill.llm.common import lists, map_batches, map_groups, only, stored, texts
 
@@ -58,37 +60,53 @@ class Settings:
     reject: float = 0.5
 
 
-class _Flags(dict):
-    """Per word: whether it is in capitals, marked, at a sentence's end, an insult, or taught by labels, as bits of a number."""
+class _Words(dict):
+    """Per word: its hashed feature, its shape, that of its stem, and five flags (in capitals, marked, at a sentence's end, an
+    insult, taught by labels), packed into one number."""
 
     def __init__(self, lexicon: frozenset[str]):
         super().__init__()
         self.lexicon = lexicon
+        self.stems: dict[str, int] = {}
 
     def __missing__(self, word: str) -> int:
-        value = self[word] = self.flags(word, self.core(word))
+        core = (word if word.isalpha() else word.strip(_EDGE)).lower()
+        begun = core[:STEM]
+        if (stem := self.stems.get(begun)) is None:
+            if len(self.stems) > CACHE:
+                self.stems.clear()
+            stem = self.stems[begun] = _hash(begun + "-") % (1 << BITS)
+        value = self[word] = _hash(core) % (1 << BITS) | _shape(_outline(word)) << BITS | stem << 30 | self.flags(word, core) << 48
         return value
 
-    def core(self, word: str) -> str:
-        return (word if word.isalpha() else word.strip(_EDGE)).lower()
-
     def flags(self, word: str, core: str) -> int:
-        marked = not word.isalpha() and bool(_MARKS.search(word))
-        flags = (len(core) > 1 and word.isupper()) | marked << 1 | (word[-1] in ".!?") << 2 | (core in _INSULTS) << 3
-        if self.lexicon:
-            flags |= any(core[:k] in self.lexicon for k in (*STEMS, None)) << 4
+        flags = (core in _INSULTS) << 3
+        if not word.islower():
+            flags |= len(core) > 1 and word.isupper()
+        if not word.isalpha():
+            flags |= bool(_MARKS.search(word)) << 1 | (word[-1] in ".!?") << 2
+        if known := self.lexicon:
+            flags |= (core in known or core[:4] in known or core[:5] in known or core[:6] in known or core[:7] in known or core[:8] in known) << 4
         return flags
 
 
-class _Words(_Flags):
-    """Per word: its hashed feature, that of its stem, its shape, and its flags, packed into one number."""
+def _outline(word: str) -> str:
+    """A word's letters as A and a and its figures as 0, runs of small letters as one."""
+    if word.isalpha() and word.isascii():  # most are, and need no search for runs
+        if word.islower():
+            return "a"
+        if word[0].isupper() and word[1:].islower():
+            return "Aa"
+    return _runs(word)
 
-    def __missing__(self, word: str) -> int:
-        core = self.core(word)
-        shape = _UPPER_RUN.sub("AA", _LOWER_RUN.sub("a", word[:40].translate(_KINDS)))[:8]
-        value = self[word] = (_hash(core) % (1 << BITS) | _hash(shape) % SHAPES << BITS | _hash(core[:STEM] + "-") % (1 << BITS) << 30
-                              | self.flags(word, core) << 48)
-        return value
+
+def _runs(word: str) -> str:
+    return _UPPER_RUN.sub("AA", _LOWER_RUN.sub("a", word[:40].translate(_KINDS)))[:8]
+
+
+@lru_cache(maxsize=1 << 14)
+def _shape(outline: str) -> int:
+    return _hash(outline) % SHAPES
 
 
 def _hash(word: str) -> int:
@@ -96,14 +114,14 @@ def _hash(word: str) -> int:
 
 
 _INSULTS = frozenset(INSULTS)
-_tables: dict[tuple[type, frozenset[str]], _Flags] = {}
+_tables: dict[frozenset[str], _Words] = {}
 
 
-def _table(kind: type, lexicon: frozenset[str]) -> _Flags:
-    if (kind, lexicon) not in _tables:
+def _table(lexicon: frozenset[str]) -> _Words:
+    if lexicon not in _tables:
         _tables.clear()
-        _tables[kind, lexicon] = kind(lexicon)
-    table = _tables[kind, lexicon]
+        _tables[lexicon] = _Words(lexicon)
+    table = _tables[lexicon]
     only(table, limit=CACHE)
     return table
 
@@ -115,35 +133,38 @@ def _votes(share: list[float], symbols: float, top: float, echo: float, span: fl
     return [int(v) for v in votes]
 
 
-def describe(text: str, table: _Flags) -> list[int] | tuple[np.ndarray, np.ndarray]:
-    """The votes of the labellers (1 bad, -1 good, 0 none) by a table of flags, or the hashed features and values of a text by a
-    table of words."""
-    votes = not isinstance(table, _Words)
+def describe(text: str, table: _Words) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """What one look at a text gives: the votes of the labellers (1 bad, -1 good, 0 none), its hashed features, and the values of
+    those that are shapes; all others have the value 1. Features are words and their stems, then shapes, then ``STEPS`` steps."""
     words = text.split()
     n = len(words)
     counts = Counter(words)
     packed = np.fromiter(map(table.__getitem__, counts), np.int64, len(counts))
     times = np.fromiter(counts.values(), np.float64, len(counts))
-    flags = packed if votes else packed >> 48
+    flags = packed >> 48
     some = np.flatnonzero(flags)
-    share = [float(times[some[(flags[some] >> k & 1) > 0]].sum()) / max(n, 1) for k in range(5)]
+    share = (((flags[some, None] >> _FLAGS & 1) * times[some, None]).sum(axis=0) / max(n, 1)).tolist()
     raw = text.encode()
     symbols = len(raw.translate(None, _PLAIN)) / max(len(raw), 1)
     top = float(times.max()) / n if n else 1.0
     echo = sum(map(eq, words, words[1:])) / max(n, 1)
     span = n / (share[2] * n + 1)
 
-    if votes:
-        return _votes(share, symbols, top, echo, span, n)
     shapes = np.bincount(packed >> BITS & SHAPES - 1, times)
     kinds = np.flatnonzero(shapes)
     bucket = (1 << BITS) + SHAPES
     steps = [bucket + min(9, int(10 * top)), bucket + 10 + min(9, int(20 * echo)), bucket + 20 + min(9, int(np.log2(n + 1))), bucket + 30 + min(9, int(50 * symbols)),
              bucket + 40 + min(9, int(np.log2(span + 1)))]
     features = np.concatenate((_distinct(np.concatenate((packed, packed >> 30)) & (1 << BITS) - 1), (1 << BITS) + kinds, steps))
-    values = np.ones(len(features))
-    values[len(features) - len(steps) - len(kinds): len(features) - len(steps)] = 4 * shapes[kinds] / max(n, 1)
-    return features, values
+    return _votes(share, symbols, top, echo, span, n), features, 4 * shapes[kinds] / max(n, 1)
+
+
+def _values(lengths: np.ndarray, shapes: np.ndarray, n_shapes: np.ndarray) -> np.ndarray:
+    """The values of all features of several texts in a row, from the values of their shapes."""
+    values = np.ones(lengths.sum())
+    first = np.cumsum(lengths) - STEPS - n_shapes
+    values[np.repeat(first - (np.cumsum(n_shapes) - n_shapes), n_shapes) + np.arange(len(shapes))] = shapes
+    return values
 
 
 def _distinct(x: np.ndarray) -> np.ndarray:
@@ -151,7 +172,9 @@ def _distinct(x: np.ndarray) -> np.ndarray:
     return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
 
 
+STEPS = 5
 N_FEATURES = (1 << BITS) + SHAPES + 50
+_FLAGS = np.arange(5)
 
 
 def _learned_words(documents: DataFrame, labels: DataFrame, settings: Settings) -> frozenset[str]:
@@ -211,28 +234,26 @@ def _chosen(votes: DataFrame, settings: Settings) -> DataFrame:
     return least(F.col("known"), known).union(least(~F.col("known"), settings.sample - known)).drop("known")
 
 
-def _vote(documents: DataFrame, lexicon: frozenset[str]) -> DataFrame:
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        table = _table(_Flags, lexicon)
-        votes = [describe(t, table) for t in texts(batch.column(1))]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.list_(pa.int32()))], names=["doc_id", "votes"])
+_READ = {"votes": ArrayType(IntegerType()), "features": ArrayType(IntegerType()), "shapes": ArrayType(FloatType())}
 
-    return map_batches(documents.select("doc_id", "text"), one, "doc_id long, votes array<int>")
 
+def _read(documents: DataFrame, lexicon: frozenset[str], text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``documents`` as structs ``row`` (without the text, where it isn't kept), with ``votes, features, shapes`` of their texts.
 
-def _features(documents: DataFrame, lexicon: frozenset[str]) -> DataFrame:
-    """``one, features, values, p_low, p_toxic, w_low, w_toxic`` of a sample, for one training task."""
+    Each text is split and looked up here once; the scorer is fitted on and applied to what this gives.
+    """
+    kept = [c for c in documents.columns if keep_text or c != text]
+    rows = documents.select(F.struct(*kept).alias("row"), F.col(text).alias("text"))
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        table = _table(_Words, lexicon)
-        rows = [describe(t, table) for t in texts(batch.column(0))]
-        n = np.array([len(f) for f, _ in rows])
-        features, values = (np.concatenate(x) for x in zip(*rows, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(rows), np.int32)), lists(features.astype(np.int32), n, pa.int32()), lists(values.astype(np.float32), n, pa.float32()), *batch.columns[1:]],
-                                          names=["one", "features", "values", "p_low", "p_toxic", "w_low", "w_toxic"])
+        table = _table(lexicon)
+        found = [describe(t, table) for t in texts(batch.column(1))]
+        votes, features, shapes = zip(*found, strict=True)
+        cut = [lists(np.concatenate(x).astype(kind), np.array(list(map(len, x))), arrow) for x, kind, arrow in (
+            (features, np.int32, pa.int32()), (shapes, np.float32, pa.float32()))]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.list_(pa.int32())), *cut], names=["row", *_READ])
 
-    return map_batches(documents.select("text", "p_low", "p_toxic", "w_low", "w_toxic"), one,
-                       "one int, features array<int>, values array<float>, p_low double, p_toxic double, w_low double, w_toxic double")
+    return map_batches(rows, one, StructType([rows.schema["row"], *[StructField(c, t) for c, t in _READ.items()]]))
 
 
 def fit_logistic(feature: np.ndarray, value: np.ndarray, cut: np.ndarray, target: np.ndarray, trust: np.ndarray, rounds: int = 4, rate: float = 0.3,
@@ -257,9 +278,10 @@ def _weights(total: np.ndarray, squares: np.ndarray, rate: float, l1: float, l2:
 
 
 def _train(rows: pa.RecordBatch, bounds: np.ndarray) -> pa.RecordBatch:
-    feature, value = rows.column(1).flatten().to_numpy(), rows.column(2).flatten().to_numpy()
+    feature, lengths = rows.column(1).flatten().to_numpy(), rows.column(1).value_lengths().to_numpy()
+    value = _values(lengths, rows.column(2).flatten().to_numpy(), rows.column(2).value_lengths().to_numpy())
     keep = np.bincount(feature, minlength=N_FEATURES)[feature] >= 3
-    ends = np.cumsum(rows.column(1).value_lengths().to_numpy())
+    ends = np.cumsum(lengths)
     cut = np.concatenate(([0], np.cumsum(keep)[ends - 1])) if len(ends) else np.zeros(1, np.int64)  # no row is without features
     feature, value = feature[keep], value[keep]
     scorers = [fit_logistic(feature, value, cut, rows.column(i).to_numpy(), rows.column(i + 2).to_numpy()) for i in (3, 4)]
@@ -276,23 +298,10 @@ class Scorer:
     lexicon: frozenset[str]
 
 
-def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Scorer:
-    """A scorer of ``documents`` (``doc_id, text``), with ``labels`` (``doc_id, quality, toxic``; 0, 1 or null) where there are some.
-
-    Heuristic labellers vote on every document. How often each vote comes with either truth is estimated by EM from the
-    counts of vote patterns over all documents; a label, where there is one, is taken for the truth. The posteriors of a
-    bounded sample, part of it always without labels, then train two hashed linear scorers, for low quality and for toxicity, in
-    one task.
-
-    Null texts count as empty. Of several labels of one id the worst counts; null ids and labels don't. Without documents
-    all weights are 0.
-    """
-    spark = documents.sparkSession
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    gold = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    gold = stored(gold)
-    lexicon = _learned_words(documents, gold, settings)
-    votes = stored(_vote(documents, lexicon).join(gold, "doc_id", "left").select(
+def _fit(read: DataFrame, gold: DataFrame, lexicon: frozenset[str], settings: Settings) -> Scorer:
+    """A scorer from the stored table of ``_read`` and one row of labels per id."""
+    ids = read.select(F.col("row.doc_id").cast("long").alias("doc_id"), "votes")
+    votes = stored(ids.join(gold, "doc_id", "left").select(
         "doc_id", "votes", F.coalesce(1 - 2 * F.col("quality"), F.lit(0)).cast("int").alias("gold_low"), F.coalesce(2 * F.col("toxic") - 1, F.lit(0)).cast("int").alias("gold_toxic")))
     low, toxic = slice(0, len(LOW)), slice(len(LOW), len(LOW) + len(TOXIC))
     chosen = _chosen(votes, settings)
@@ -301,7 +310,8 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
         chosen = chosen.withColumn("key", key).join(F.broadcast(_posteriors(votes, part, gold_name)), "key").drop("key").withColumnRenamed("p", name)
         chosen = chosen.withColumn(name.replace("p_", "w_"), F.when(F.col(gold_name) != 0, 1.0).otherwise(settings.weak))
     chosen = stored(chosen.select("doc_id", "p_low", "p_toxic", "w_low", "w_toxic").dropDuplicates(["doc_id"]))
-    sample = stored(_features(documents.join(F.broadcast(chosen), "doc_id"), lexicon))
+    told = read.select(F.col("row.doc_id").cast("long").alias("doc_id"), "features", "shapes").join(F.broadcast(chosen), "doc_id")
+    sample = stored(told.select(F.lit(0).alias("one"), "features", "shapes", "p_low", "p_toxic", "w_low", "w_toxic"))
     rows = map_groups(sample, ["one"], _train, "feature long, low double, toxic double").collect()
     weights = np.zeros((2, N_FEATURES + 1))
     for r in rows:
@@ -309,31 +319,63 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
     return Scorer(weights, lexicon)
 
 
+def _gold(labels: DataFrame) -> DataFrame:
+    """The worst label of each id."""
+    known = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+    return stored(known.agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic")))
+
+
+def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Scorer:
+    """A scorer of ``documents`` (``doc_id, text``), with ``labels`` (``doc_id, quality, toxic``; 0, 1 or null) where there are some.
+
+    Heuristic labellers vote on every document. How often each vote comes with either truth is estimated by EM from the
+    counts of vote patterns over all documents; a label, where there is one, is taken for the truth. The posteriors of a
+    bounded sample, part of it always without labels, then train two hashed linear scorers, for low quality and for toxicity, in
+    one task.
+
+    Null texts count as empty. Of several labels of one id the worst counts; null ids and labels don't. Without documents
+    all weights are 0.
+    """
+    gold = _gold(labels)
+    lexicon = _learned_words(documents, gold, settings)
+    return _fit(stored(_read(documents.select("doc_id", "text"), lexicon, keep_text=False)), gold, lexicon, settings)
+
+
+def _apply(read: DataFrame, scorer: Scorer) -> DataFrame:
+    """``row, p_low, p_toxic`` of what ``_read`` gave."""
+    rows = read.select("row", "features", "shapes")
+    shared = read.sparkSession.sparkContext.broadcast(scorer.weights)
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        weights, (feature, shape) = shared.value, batch.columns[1:]
+        lengths = feature.value_lengths().to_numpy()  # no row is without features
+        values = _values(lengths, shape.flatten().to_numpy(), shape.value_lengths().to_numpy())
+        out = np.add.reduceat(weights[:, feature.flatten().to_numpy()] * values, np.cumsum(lengths) - lengths, axis=1) + weights[:, -1:]
+        p = 1 / (1 + np.exp(-np.clip(out, -30, 30)))
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(p[0]), pa.array(p[1])], names=["row", "p_low", "p_toxic"])
+
+    return map_batches(rows, one, StructType([rows.schema["row"], StructField("p_low", DoubleType()), StructField("p_toxic", DoubleType())]))
+
+
 def score(documents: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame:
     """The columns of ``documents`` with ``p_low`` and ``p_toxic`` (replaced if there): how likely a text is low or toxic.
 
     Null counts as empty. Rows are scored each for itself, where they are.
     """
     kept = [c for c in documents.columns if c not in ("p_low", "p_toxic")]
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in documents.select(*kept).schema) + "p_low double, p_toxic double"
-    shared = documents.sparkSession.sparkContext.broadcast((scorer.weights, scorer.lexicon))
+    return _apply(_read(documents.select(*kept), scorer.lexicon, text), scorer).select("row.*", "p_low", "p_toxic")
 
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        weights, lexicon = shared.value
-        table = _table(_Words, lexicon)
-        out = np.zeros((batch.num_rows, 2))
-        for i, t in enumerate(texts(batch.column(kept.index(text)))):
-            features, values = describe(t, table)
-            out[i] = weights[:, features] @ values + weights[:, -1]
-        p = 1 / (1 + np.exp(-np.clip(out, -30, 30)))
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(p[:, 0]), pa.array(p[:, 1])], names=[*kept, "p_low", "p_toxic"])
 
-    return map_batches(documents.select(*kept), one, schema)
+def fit_and_score(documents: DataFrame, labels: DataFrame, settings: Settings = Settings(), keep_text: bool = True) -> DataFrame:
+    """``fit`` and ``score`` of the same documents: ``row`` (a struct of their columns), ``p_low, p_toxic``. Texts are looked at
+    once; their features lie in a stored table in between, with the texts themselves where they are kept."""
+    gold = _gold(labels)
+    lexicon = _learned_words(documents, gold, settings)
+    read = stored(_read(documents, lexicon, keep_text=keep_text))
+    return _apply(read, _fit(read, gold, lexicon, settings))
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``documents`` that the scorer fitted on them finds neither low nor toxic; the columns stay."""
-    scorer = fit(documents, labels, settings)
-    row = documents.select(F.struct(*documents.columns).alias("row"), F.col("text"))
-    good = score(row, scorer).where((F.col("p_low") < settings.reject) & (F.col("p_toxic") < settings.reject))
-    return good.select("row.*")
+    scored = fit_and_score(documents, labels, settings)
+    return scored.where((F.col("p_low") < settings.reject) & (F.col("p_toxic") < settings.reject)).select("row.*")

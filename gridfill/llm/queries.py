@@ -38,7 +38,7 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their chances of being low or toxic, and whether a filter keeps them."""
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = quality.score(documents, quality.fit(documents, _table(spark, sf_dir, "labels"))).select("doc_id", "p_low", "p_toxic")
+    scored = quality.fit_and_score(documents, _table(spark, sf_dir, "labels"), keep_text=False).select("row.doc_id", "p_low", "p_toxic")
     limit = quality.Settings().reject
     return scored.withColumn("kept", (F.col("p_low") < limit) & (F.col("p_toxic") < limit))
 
