@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_SHARE = 0.1
-MIN_PAGES = 5
+MIN_PAGES = 2
 
 
 def _hash(column: Column) -> Column:

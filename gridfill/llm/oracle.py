@@ -16,7 +16,7 @@ ORACLE = {
         n AS (SELECT source, count(DISTINCT text) AS total FROM d GROUP BY source),
         l AS (SELECT doc_id, source, text, trim(ls[i], ' ') AS line, i, ls[i] AS raw FROM d, unnest(range(1, len(ls) + 1)) t(i)),
         b AS (SELECT l.source, line FROM l JOIN n ON l.source IS NOT DISTINCT FROM n.source WHERE line <> ''
-              GROUP BY l.source, line, total HAVING count(DISTINCT text) >= 5 AND count(DISTINCT text) > 0.1 * total),
+              GROUP BY l.source, line, total HAVING count(DISTINCT text) >= 2 AND count(DISTINCT text) > 0.1 * total),
         k AS (SELECT doc_id, count(*) AS n_dropped, list(i) AS places FROM l SEMI JOIN b ON l.source IS NOT DISTINCT FROM b.source AND l.line = b.line GROUP BY doc_id)
         SELECT d.doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
                CASE WHEN places IS NULL THEN text ELSE coalesce(array_to_string([ls[i] FOR i IN range(1, len(ls) + 1) IF NOT list_contains(places, i)], chr(10)), '') END AS text
