@@ -278,10 +278,11 @@ def _label_blocks(dealt: DataFrame) -> DataFrame:
 def keep_first(documents: DataFrame, shingle: int = 5, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``documents`` without the rows that ``near_duplicates`` doesn't keep; the columns stay.
 
-    Of rows that repeat an id, one stays. Rows without an id or without words all stay.
+    Of rows that repeat id and text, one stays; different texts under one id are judged by their groups. Rows without an id or
+    without words all stay.
     """
     groups = near_duplicates(documents, shingle, percent, doc_id, text).where(F.col(doc_id).isNotNull() & ~F.col("kept"))
     gone = stored(groups.select(F.col(doc_id).alias("_gone")).distinct())
     left = documents.join(gone, documents[doc_id] == gone["_gone"], "left_anti")
     each = F.when(F.col(doc_id).isNull(), F.monotonically_increasing_id())
-    return left.withColumn("_each", each).dropDuplicates([doc_id, "_each"]).drop("_each")
+    return left.withColumn("_each", each).dropDuplicates([doc_id, text, "_each"]).drop("_each")
