@@ -61,6 +61,7 @@ def _link_blocks(rows: pa.RecordBatch, bounds: np.ndarray, cosine: float) -> pa.
         if b - a < 2:
             continue
         x = values[cut[a]: cut[b]].reshape(b - a, -1)
+        x = x / np.abs(x).max(axis=1, keepdims=True)  # squares of very large or small components stay in range
         x = x / np.linalg.norm(x, axis=1, keepdims=True)
         links = np.triu(x @ x.T >= cosine, 1)
         if p[a] != q[a]:  # pairs inside one block are met where a block stands alone
