@@ -75,6 +75,8 @@ def test_near_duplicates_of_repeated_and_missing_ids(spark):
     table = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (None, "a b c d e f"), (3, None)], TEXT)
     assert rows(near_dedup.near_duplicates(table)) == sorted([(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (None, 2, None, False), (None, 2, None, False), (3, 0, 3, True)], key=repr)
     assert [r.doc_id for r in near_dedup.keep_first(table).orderBy("doc_id").collect()] == [None, None, 1, 3]
+    other = spark.createDataFrame([(1, "an old text under this id"), (1, "and quite another one here"), (1, "an old text under this id")], TEXT)
+    assert len(rows(near_dedup.keep_first(other))) == 2  # different texts under one id both stay
     assert near_dedup.near_duplicates(table.limit(0)).isEmpty() and near_dedup.keep_first(table.limit(0)).isEmpty()
 
 
@@ -175,6 +177,8 @@ def test_vectors(spark, monkeypatch, block):
     table = spark.createDataFrame([(*v, 1) for v in vectors], "vec_id long, embedding array<double>, n_links int")
     assert rows(embedding_dedup.link_vectors(table, miss=1e-6)) == sorted(brute.vector_links(vectors), key=repr)
     assert embedding_dedup.link_vectors(table.limit(0)).isEmpty()
+    extreme = spark.createDataFrame([(1, [1e200, 0.0]), (2, [2e200, 0.0]), (3, [1e-200, 0.0]), (4, [0.0, 1e-300]), (5, [0.0, 3.0])], "vec_id long, embedding array<double>")
+    assert rows(embedding_dedup.link_vectors(extreme)) == [(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 1, 4, True), (5, 1, 4, False)]
     twice = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [1.0, 0.0]), (2, [1.0, 0.01])], "vec_id long, embedding array<double>")
     assert rows(embedding_dedup.link_vectors(twice)) == sorted([(1, 2, 1, True), (1, 2, 1, True), (None, 0, None, False), (2, 2, 1, False)], key=repr)
 

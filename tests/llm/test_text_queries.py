@@ -81,7 +81,6 @@ def test_op9(spark, documents):
 
 def test_op10(spark, documents):
     tokenizer = Tokenizer.from_file(queries.tokenizer_file())
-    tokenizer.encode_special_tokens = True
     want = brute.token_pieces(documents, tokenizer)
     assert result(spark, "op10_packing", "doc_id", "piece", "start", "length", "ids_crc32") == sorted(want)
     places = {}
