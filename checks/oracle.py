@@ -7,9 +7,10 @@ columns), ground areas project the four corners of a tile, nearest neighbours ra
 
 from __future__ import annotations
 
+import math
+
 W = "20037508.342789244::DOUBLE"
 R = "6378137.0::DOUBLE"
-TOUCH = 1e-9  # share of a 256-px cell
 
 
 def q(ctes: list[str], select: str) -> str:
@@ -91,7 +92,7 @@ def fractions(name: str, cand: str, edge: str, px: int, zoom: int = 12, key: str
         FROM (SELECT d.{key}, d.gc, d.gr, s, xa, ya, xb, yb, {c} AS h, {W} - (d.gr + 1) * {c} AS y0,
             least(greatest(xa, d.gc * {c} - {W}), (d.gc + 1) * {c} - {W}) AS ca, least(greatest(xb, d.gc * {c} - {W}), (d.gc + 1) * {c} - {W}) AS cb
           FROM {cand} d JOIN {edge} e ON d.{key} = e.{key}))
-      WHERE ca <> cb GROUP BY {key}, gc, gr HAVING fraction > {TOUCH * (px / 256) ** 2!r})"""
+      WHERE ca <> cb GROUP BY {key}, gc, gr HAVING fraction > {4 / 2 ** (52 - math.ceil(math.log2((1 << zoom) * px)))!r})"""
 
 
 # Albers equal-area, lat_1=20 lat_2=-23 lat_0=0 lon_0=25 on WGS84
@@ -280,24 +281,30 @@ def _neighbours() -> list[str]:
 
 
 def _defects() -> str:
-    """Spoiled outer rings, judged vertex by vertex and edge pair by edge pair."""
+    """Spoiled outer rings, judged vertex by vertex and edge pair by edge pair; a ring crossed at one point is two parts, the edges
+    between the crossing ones and the others, both closed through that point."""
     pick = """CASE WHEN k % 17 = 0 THEN [0, 1, 2, 3, 0] WHEN k % 19 = 0 THEN [0, 1, 0] WHEN k % 23 = 0 THEN [0, 2, 1, 3, 0]
         WHEN k % 29 = 0 THEN [0, 1, 0, 1, 0] ELSE [0, 1, 2, 3, 4] END"""
-    side = lambda s, p: f"sign(({s}.xb - {s}.xa) * ({p[1]} - {s}.ya) - ({s}.yb - {s}.ya) * ({p[0]} - {s}.xa))"
+    side = lambda s, p: f"(({s}.xb - {s}.xa) * ({p[1]} - {s}.ya) - ({s}.yb - {s}.ya) * ({p[0]} - {s}.xa))"
     pt = lambda s, e: (f"{s}.x{e}", f"{s}.y{e}")
-    crossing = f"{side('s', pt('t', 'a'))} * {side('s', pt('t', 'b'))} < 0 AND {side('t', pt('s', 'a'))} * {side('t', pt('s', 'b'))} < 0"
+    crossing = f"sign({side('s', pt('t', 'a'))}) * sign({side('s', pt('t', 'b'))}) < 0 AND sign({side('t', pt('s', 'a'))}) * sign({side('t', pt('s', 'b'))}) < 0"
+    share = f"({side('t', pt('s', 'a'))} / ({side('t', pt('s', 'a'))} - {side('t', pt('s', 'b'))}))"
     return q([BLD, VERT,
               f"picked AS (SELECT k, unnest(l) AS i, unnest(range(len(l))) AS n FROM (SELECT k, {pick} AS l FROM bld))",
               "sv AS (SELECT p.k, n, x, y FROM picked p JOIN vert v ON p.k = v.k AND p.i = v.i AND v.ring = 0)",
               "se AS (SELECT a.k, a.n, a.x AS xa, a.y AS ya, b.x AS xb, b.y AS yb FROM sv a JOIN sv b ON a.k = b.k AND b.n = a.n + 1)",
-              f"crossed AS (SELECT DISTINCT s.k FROM se s JOIN se t ON s.k = t.k AND t.n > s.n + 1 WHERE {crossing})",
+              f"""crossed AS (SELECT s.k, s.n AS n0, t.n AS n1, s.xa + {share} * (s.xb - s.xa) AS px, s.ya + {share} * (s.yb - s.ya) AS py
+                  FROM se s JOIN se t ON s.k = t.k AND t.n > s.n + 1 WHERE {crossing})""",
+              """lobes AS (SELECT e.k, e.n > n0 AND e.n < n1 AS between, abs(sum((xa - px) * (yb - py) - (xb - px) * (ya - py))) / 2 AS area
+                  FROM se e JOIN crossed c ON e.k = c.k WHERE e.n <> n0 AND e.n <> n1 GROUP BY e.k, between)""",
               """shape AS (SELECT k, count(*) AS points, arg_min(x, n) = arg_max(x, n) AND arg_min(y, n) = arg_max(y, n) AS closed FROM sv GROUP BY k)""",
               "turned AS (SELECT e.k, abs(sum((xa - ox) * (yb - oy) - (xb - ox) * (ya - oy))) / 2 AS area FROM se e JOIN (SELECT k, arg_min(x, n) AS ox, arg_min(y, n) AS oy FROM sv GROUP BY k) o ON e.k = o.k GROUP BY e.k)"],
              """SELECT building_id, defect, CASE WHEN defect IS NULL THEN round(left_over, 2) END AS area FROM (
                 SELECT s.k AS building_id, area - CASE WHEN s.k % 5 = 0 THEN hole ELSE 0 END AS left_over, CASE WHEN points < 4 THEN 'ring of fewer than 4 points' WHEN NOT closed THEN 'open ring'
-                WHEN c.k IS NOT NULL THEN 'crosses itself' WHEN area - CASE WHEN s.k % 5 = 0 THEN hole ELSE 0 END <= 0 THEN 'no area' END AS defect
-                FROM shape s LEFT JOIN crossed c ON s.k = c.k LEFT JOIN turned t ON s.k = t.k
-                JOIN (SELECT k, CASE WHEN k % 2 = 0 THEN w * h ELSE w * h / 2 END AS hole FROM bld) b ON s.k = b.k)""")
+                WHEN area - CASE WHEN s.k % 5 = 0 THEN hole ELSE 0 END <= 0 THEN 'no area' END AS defect
+                FROM shape s ANTI JOIN crossed c ON s.k = c.k LEFT JOIN turned t ON s.k = t.k
+                JOIN (SELECT k, CASE WHEN k % 2 = 0 THEN w * h ELSE w * h / 2 END AS hole FROM bld) b ON s.k = b.k
+                UNION ALL SELECT k, area, NULL FROM lobes)""")
 
 
 def _cells(cells: str, **digits: int) -> str:

@@ -30,12 +30,19 @@ from gridfill.functions.shapes import segments_sql, signed_area_sql, usable_area
 from gridfill.functions.spread import spread
 from gridfill.sources.features import valid_polygons
 
-# A cell counts as covered from this share of a 256-px cell on; on other grids the same area is asked for.
-TOUCH_SHARE = 1e-9
+# Rows of a column that are walked in one window; deeper grids are walked block by block, with what is carried over.
+BLOCK_ROWS = 1 << 20
 
 
 def touch_share(grid: Grid) -> float:
-    return TOUCH_SHARE * (grid.px / 256.0) ** 2
+    """The share from which on a cell counts as covered: four snapping steps, as the ends of an outline's edges on both sides of a
+    cell may each be off by one."""
+    return 4.0 / (1 << snap_bits(grid))
+
+
+def _blocks(grid: Grid, block_rows: int) -> bool:
+    """Whether the grid's columns are longer than a block."""
+    return grid.tiles * grid.px > block_rows
 
 
 def outline_edges(polygons: DataFrame, grid: Grid, keep: Sequence[str] = ()) -> DataFrame:
@@ -126,19 +133,32 @@ def outline_cells(polygons: DataFrame, grid: Grid, keys: Sequence[str] = (), wei
     return pieces.groupBy(*keys, "gcol", "grow").agg(*sums)
 
 
-def coverage_spans(outline: DataFrame, grid: Grid, keys: Sequence[str] = ()) -> DataFrame:
+def coverage_spans(outline: DataFrame, grid: Grid, keys: Sequence[str] = (), block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Walk down every column: ``*keys, gcol, row_from, row_to, fraction[, weighted]`` of all covered cells.
 
-    A cell on an outline is a span of its own; the cells between two outline cells share one span. A column
-    holds at most ``tiles * px`` outline cells per key, however many polygons there are.
+    A cell on an outline is a span of its own; the cells between two outline cells share one span. Columns of more than
+    ``block_rows`` rows are walked in blocks: sums of whole blocks give what a block takes over from those above it and
+    the row where the next one begins, so a window holds the outline cells of one block, or a row for each block.
     """
     scale = 1 << snap_bits(grid)
     weighted = "w_area" in outline.columns
-    down = f"(PARTITION BY {', '.join([*keys, 'gcol'])} ORDER BY grow"
+    column = [*keys, "gcol"]
+    sums = {"cover": "0L", **({"w_cover": "0D"} if weighted else {})}
+    if _blocks(grid, block_rows):
+        outline = outline.selectExpr("*", f"grow div {block_rows} AS block")
+        whole = outline.groupBy(*column, "block").agg(F.min("grow").alias("_first"), *[F.sum(c).alias(f"_{c}") for c in sums])
+        over = f"(PARTITION BY {', '.join(column)} ORDER BY block"
+        carried = whole.selectExpr(*column, "block", f"lead(_first) OVER {over}) AS _next", *[
+            f"coalesce(sum(_{c}) OVER {over} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), {zero}) AS _{c}" for c, zero in sums.items()])
+        outline = outline.join(carried, [*column, "block"])
+        column = [*column, "block"]
+    down = f"(PARTITION BY {', '.join(column)} ORDER BY grow"
     above = f"{down} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    plus = lambda c: f" + _{c}" if "block" in column else ""
+    following = f"lead(grow) OVER {down})"
     walked = outline.selectExpr(
-        "*", f"lead(grow) OVER {down}) AS next_row", f"coalesce(sum(cover) OVER {above}, 0L) AS above",
-        *([f"coalesce(sum(w_cover) OVER {above}, 0D) AS w_above"] if weighted else []))
+        "*", f"{f'coalesce({following}, _next)' if 'block' in column else following} AS next_row", f"coalesce(sum(cover) OVER {above}, 0L){plus('cover')} AS above",
+        *([f"coalesce(sum(w_cover) OVER {above}, 0D){plus('w_cover')} AS w_above"] if weighted else []))
     here = f"grow, grow, above / {scale}D + area"
     between = f"grow + 1, next_row - 1, (above + cover) / {scale}D"
     if weighted:
@@ -174,19 +194,30 @@ def footprint_grid(buildings: DataFrame, grid: Grid, column: str = "osm", clip_t
     return cells.select(*CELL_KEY, (F.col("weighted") * cell_area_m2(grid, F.col("tile_row"))).alias(column))
 
 
-def mask_cells(cells: DataFrame, masks: DataFrame | None, grid: Grid) -> DataFrame:
+def mask_cells(cells: DataFrame, masks: DataFrame | None, grid: Grid, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Keep the cells touched by any mask polygon; ``masks=None`` keeps all.
 
     Cells and mask outlines are walked down the columns together, so a cell meets the running cover of its
-    column once instead of being paired with polygons. Both sides hold one row per cell.
+    column once instead of being paired with polygons. Both sides hold one row per cell. Columns of more than ``block_rows``
+    rows are walked in blocks: a block with cells begins with a row that carries the cover of the outlines above it.
     """
     if masks is None:
         return cells
     outline = outline_cells(usable_areas(masks), grid, long_outlines=True)
     scale, px = 1 << snap_bits(grid), grid.px
-    down = "(PARTITION BY _gcol ORDER BY _grow RANGE BETWEEN"
     marked = cells.selectExpr("*", f"tile_col * {px} + cell_col AS _gcol", f"tile_row * {px} + cell_row AS _grow", "true AS _is_cell")
     edges = outline.selectExpr("gcol AS _gcol", "grow AS _grow", "cover AS _cover", f"area - cover / {scale}D AS _local")
+    column = "_gcol"
+    if _blocks(grid, block_rows):
+        column, block = "_gcol, _block", f"_grow div {block_rows} AS _block"
+        marked, edges = marked.selectExpr("*", block), edges.selectExpr("*", block)
+        met = marked.select("_gcol", "_block", F.lit(0).cast("bigint").alias("_cover"), F.lit(True).alias("_cells")).distinct()
+        whole = edges.groupBy("_gcol", "_block").agg(F.sum("_cover").alias("_cover"), F.lit(False).alias("_cells"))
+        blocks = met.unionByName(whole).groupBy("_gcol", "_block").agg(F.sum("_cover").alias("_cover"), F.max("_cells").alias("_cells"))
+        carried = blocks.selectExpr("_gcol", "_block", f"_block * {block_rows} AS _grow", "0D AS _local", "_cells",
+                                    "sum(_cover) OVER (PARTITION BY _gcol ORDER BY _block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _cover")
+        edges = edges.unionByName(carried.where("_cells AND _cover <> 0").drop("_cells"))
+    down = f"(PARTITION BY {column} ORDER BY _grow RANGE BETWEEN"
     walked = marked.unionByName(edges, allowMissingColumns=True).selectExpr(
         "*", f"coalesce(sum(_cover) OVER {down} UNBOUNDED PRECEDING AND CURRENT ROW), 0L) / {scale}D"
              f" + coalesce(sum(_local) OVER {down} CURRENT ROW AND CURRENT ROW), 0D) AS _share")
@@ -208,9 +239,10 @@ def tile_strips(spans: DataFrame, grid: Grid) -> DataFrame:
                           f"least(row_to, tile_row * {px} + {px - 1}) AS row_to")
 
 
-def zone_spans(zones: DataFrame, grid: Grid, key: str = "code") -> DataFrame:
+def zone_spans(zones: DataFrame, grid: Grid, key: str = "code", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """As ``zone_cells``, as runs of rows in a column: what zones are stored and joined as."""
-    return coverage_spans(outline_cells(usable_areas(zones.select(key, "rings")), grid, [key], long_outlines=True), grid, [key])
+    outline = outline_cells(usable_areas(zones.select(key, "rings")), grid, [key], long_outlines=True)
+    return coverage_spans(outline, grid, [key], block_rows)
 
 
 def cells_by_zone(cells: DataFrame, spans: DataFrame, grid: Grid, key: str = "code") -> DataFrame:

@@ -1,11 +1,12 @@
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from gridfill.functions.albers import cell_area_m2
-from gridfill.functions.grid import CELL_KEY, Grid
+from gridfill.functions.grid import CELL_KEY, Grid, snap_bits
 from gridfill.operators import coverage
 from tests.shapes import FEATURE, GRID, area, box, closed, corner, fractions
 
@@ -154,10 +155,54 @@ def test_spoiled_areas(spark):
         assert coverage.mask_cells(cells, area, GRID).count() == 100
         assert coverage.zone_cells(area, GRID, "building_id").count() == 100
         assert coverage.footprint_fraction(area, GRID).count() == 100
-    bow_tie = [square[0], square[2], square[1], square[3]]
-    for points, reason in ((bow_tie, "crosses itself"), ([*square[:3], (math.nan, Y)], "no finite"), ([*square[:3], (math.inf, Y)], "no finite"), ([*square[:3], (X, 3e7)], "outside")):
+    tie = polygons(spark, [(1, 1.0, [[square[0], square[2], square[1], square[3]]])])
+    both = polygons(spark, [(i, 1.0, [[a, b, (X + 5 * C, Y - 5 * C)]]) for i, (a, b) in enumerate(((square[1], square[2]), (square[3], square[0])))])
+    keys = ("tile_col", "tile_row", "cell_col", "cell_row")
+    masked, zoned, shares = ([sorted(map(tuple, f(x).select(*keys).distinct().collect())) for x in (tie, both)] for f in (
+        lambda x: coverage.mask_cells(cells, x, GRID), lambda x: coverage.zone_cells(x, GRID, "building_id"), lambda x: coverage.footprint_fraction(x, GRID)))
+    assert masked[0] == masked[1] == zoned[0] == zoned[1] == shares[0] == shares[1] and len(masked[0]) < 100  # a bow tie is its two parts
+    for points, reason in (([*square[:3], (math.nan, Y)], "no finite"), ([*square[:3], (math.inf, Y)], "no finite"), ([*square[:3], (X, 3e7)], "outside")):
         area = polygons(spark, [(1, 1.0, [points])])
         for spoiled in (coverage.mask_cells(cells, area, GRID), coverage.zone_cells(area, GRID, "building_id"), coverage.touched_tiles(area, GRID)):
             with pytest.raises(Exception, match=f"unusable area, {reason}"):
                 spoiled.collect()
         assert coverage.footprint_fraction(area, GRID).isEmpty()
+
+
+@pytest.mark.parametrize("block_rows", [1, 3, 16, 1000])
+def test_walks_in_blocks(spark, block_rows):
+    """Columns walked block by block give the cells of one walk, weighted and by key."""
+    areas = polygons(spark, [(1, 2.0, [box(X - 3.3 * C, Y - 40.2 * C, X + 7.6 * C, Y + 2.5 * C), box(X, Y - 20.5 * C, X + 3 * C, Y - 9.1 * C)]),
+                             (2, 3.0, [[(X + 2 * C, Y - 70.5 * C), (X + 9.5 * C, Y - 31.2 * C), (X - 2.5 * C, Y - 12.7 * C)]]), (3, 1.0, [box(X, Y - 300 * C, X + C, Y - 299 * C)])])
+
+    def rows(df):
+        spread_out = df.selectExpr("* EXCEPT (row_from, row_to)", "explode(sequence(row_from, row_to)) AS row")
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in spread_out.collect())
+
+    for keys in ([], ["building_id"]):
+        outline = coverage.outline_cells(areas, GRID, keys, weight="levels")
+        assert rows(coverage.coverage_spans(outline, GRID, keys, block_rows)) == rows(coverage.coverage_spans(outline, GRID, keys))
+    data = [(c, r, float(c + r)) for c in range(599990, 600015) for r in [*range(595990, 596110), 596299, 597000]]
+    cells = spark.createDataFrame(data, "gcol long, grow long, pop double").select(*GRID.split(F.col("gcol"), F.col("grow")), "pop")
+    one, many = (sorted(map(tuple, coverage.mask_cells(cells, areas, GRID, n).collect())) for n in (coverage.BLOCK_ROWS, block_rows))
+    assert one == many and 0 < len(one) < len(data)
+
+
+def test_deep_grids_are_walked_in_blocks(spark):
+    """At zoom 20 a column of the world has 268 million rows; a window holds those of one block."""
+    deep = Grid(20, 256)
+    c, col, row = deep.cell_size, 150_000_000, 140_000_000
+    x, y = corner(col, row, deep)
+    areas = polygons(spark, [(1, 1.0, [box(x + 0.5 * c, y - 60_000_000.5 * c, x + 2.5 * c, y - 0.5 * c)])])
+    spots = [(col + k, row + r) for k in range(-1, 4) for r in (-5, 0, 1, 7_000_000, 33_333_333, 60_000_000, 60_000_001)]
+    cells = spark.createDataFrame([(a, b, 1.0) for a, b in spots], "gcol long, grow long, pop double").select(*deep.split(F.col("gcol"), F.col("grow")), "pop")
+    masked = coverage.mask_cells(cells, areas, deep)
+    assert masked.count() == sum(0 <= a - col <= 2 and 0 <= b - row <= 60_000_000 for a, b in spots)
+    plan = masked._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(_gcol#" in plan and re.search(r"windowspecdefinition\(_gcol#\d+L, _block#\d+L, _grow", plan)
+    spans = coverage.zone_spans(areas.withColumnRenamed("building_id", "code"), deep).agg(F.sum("row_to") - F.sum("row_from") + F.count("*")).first()[0]
+    assert spans == 3 * 60_000_001
+
+
+def test_touch_share_follows_the_grid():
+    assert [coverage.touch_share(Grid(z, p)) * 2 ** snap_bits(Grid(z, p)) for z, p in ((12, 256), (12, 4), (20, 256), (0, 1))] == [4.0] * 4

@@ -1,5 +1,6 @@
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,11 +38,81 @@ def test_defects(spark):
     got = {r.name: r.defect for r in features.check_polygons(df).collect()}
     assert got == {
         "fine": None, "fine and round": None, "none": "empty", "empty": "empty", "few": "ring of fewer than 4 points", "open": None,
-        "flat": "no area", "eight": "crosses itself", "long crossed": "crosses itself", "long crossed nearby": "crosses itself",
+        "flat": "no area", "eight": None, "long crossed": None, "long crossed nearby": None,
         "crossed hole": None, "empty hole": None, "twice": None, "no number": "no finite coordinates", "endless": "no finite coordinates", "far": "outside the world"}
-    areas = {r.name: r.area for r in features.valid_polygons(df).select("name", polygon_moments("rings")["area"].alias("area")).collect()}
-    assert areas == pytest.approx({"fine": 100, "fine and round": areas["fine and round"], "open": 100, "crossed hole": 3600, "empty hole": 3600, "twice": 100})
-    assert features.rejected_polygons(df).count() == len(rings) - len(areas)
+    parts = features.valid_polygons(df).select("name", polygon_moments("rings")["area"].alias("area")).groupBy("name").agg(F.sum("area").alias("area"), F.count("*").alias("n"))
+    got = {r.name: (r.area, r.n) for r in parts.collect()}
+    want = {"fine": 100, "open": 100, "crossed hole": 3600, "empty hole": 3600, "twice": 100, "eight": enclosed(eight), "fine and round": enclosed(circle(500, 1.0)),
+            "long crossed": enclosed(crossed), "long crossed nearby": enclosed(near)}
+    assert {k: a for k, (a, _) in got.items()} == pytest.approx(want)
+    assert {k for k, (_, n) in got.items() if n > 1} == {"eight", "long crossed", "long crossed nearby"}
+    assert features.rejected_polygons(df).count() == len(rings) - len(want)
+
+
+def turns(ring, x, y):
+    """How often a ring runs around a point."""
+    n = 0
+    for a, b in zip(ring, [*ring[1:], ring[0]]):
+        if (a[1] > y) != (b[1] > y) and x < a[0] + (y - a[1]) * (b[0] - a[0]) / (b[1] - a[1]):
+            n += 1 if b[1] > a[1] else -1
+    return n
+
+
+def enclosed(ring):
+    """The area that a ring runs around, in strips between all ends and crossings: none of its edges meet inside a strip."""
+    edges = [(a, b) for a, b in zip(ring, [*ring[1:], ring[0]]) if a[0] != b[0]]
+    xs = {p[0] for p in ring}
+    for i, (a, b) in enumerate(edges):
+        for c, d in edges[:i]:
+            s, t = (b[1] - a[1]) / (b[0] - a[0]), (d[1] - c[1]) / (d[0] - c[0])
+            if s != t:
+                xs.add((c[1] - a[1] + s * a[0] - t * c[0]) / (s - t))
+    xs, area = sorted(xs), 0.0
+    for x0, x1 in zip(xs, xs[1:]):
+        mid, inside, low = (x0 + x1) / 2, 0, None
+        spanning = sorted((a[1] + (mid - a[0]) * (b[1] - a[1]) / (b[0] - a[0]), 1 if a[0] < b[0] else -1) for a, b in edges if min(a[0], b[0]) < mid < max(a[0], b[0]))
+        for y, turn in spanning:
+            if inside == 0:
+                low = y
+            inside += turn
+            if inside == 0:
+                area += (y - low) * (x1 - x0)
+    return area
+
+
+def test_crossing_outlines_are_split(spark):
+    """Whatever an outline runs around counts, as parts that neither cross nor overlap."""
+    pick = random.Random(5)
+    outlines = {i: [(pick.uniform(0, 100), pick.uniform(0, 100)) for _ in range(pick.randrange(4, 14))] for i in range(120)}
+    outlines |= {200: [(0, 0), (10, 10), (10, 0), (0, 10)], 201: [(0, 0), (5, 5), (10, 10), (10, 0), (5, 5), (0, 10)],  # a bow tie; its knot as a point
+                 202: [(0, 0), (10, 0), (10, 10), (2, 10), (2, 4), (6, 4), (6, 12), (0, 12)],  # runs around one region twice
+                 203: [(0, 0), (10, 0), (10, 10), (5, 10), (5, 5), (3, 5), (3, 8), (7, 8), (7, 12), (0, 12)],  # and here around a hole
+                 204: [(0, 0), (10, 0), (5, 0), (5, 8)], 205: [(0, 0), (8, 0), (8, 8), (4, 0), (0, 8)],  # touching only
+                 206: [*[(100 * math.cos(6.283 * i / 300), 100 * math.sin(6.283 * i / 300)) for i in range(300)]]}
+    outlines[206][80], outlines[206][200] = outlines[206][200], outlines[206][80]
+    df = spark.createDataFrame([(k, float(k), [closed(v)]) for k, v in outlines.items()], FEATURE)
+    parts = {}
+    for r in features.valid_polygons(df).select("*", polygon_moments("rings")["area"].alias("area")).collect():
+        assert r.levels == r.building_id  # parts keep the building's other columns
+        parts.setdefault(r.building_id, []).append(([[tuple(p) for p in ring[:-1]] for ring in r.rings], r.area))
+    for k, ring in outlines.items():
+        assert sum(a for _, a in parts[k]) == pytest.approx(enclosed(ring), rel=1e-9, abs=1e-9), k
+        for _ in range(40):
+            x, y = pick.uniform(-5, 105), pick.uniform(-5, 105)
+            held = sum(turns(rings[0], x, y) != 0 and not any(turns(h, x, y) for h in rings[1:]) for rings, _ in parts[k])
+            assert held == (turns(ring, x, y) != 0), (k, x, y)
+    assert len(parts[200]) == len(parts[201]) == 2 and len(parts[202]) == 1
+    assert 2 in [len(rings) for rings, _ in parts[203]]
+    again = spark.createDataFrame([(1, 1.0, [closed(r) for r in rings]) for p in parts.values() for rings, _ in p], FEATURE)
+    assert features.valid_polygons(again).count() >= again.count()
+
+
+def test_holes_of_split_outlines(spark):
+    tie = [(0, 0), (100, 100), (100, 0), (0, 100)]
+    left, right, across, outside = box(10, 45, 20, 55), box(80, 45, 90, 55), box(20, 40, 80, 60), box(45, 5, 55, 10)
+    df = spark.createDataFrame([(1, 1.0, [closed(tie), *[closed(h) for h in (left, right, across, outside)]])], FEATURE)
+    got = features.valid_polygons(df).select(F.size("rings").alias("n"), polygon_moments("rings")["area"].alias("area")).collect()
+    assert sorted((r.n, round(r.area, 6)) for r in got) == [(2, 2400.0), (2, 2400.0)]  # a hole across both parts, or in none, is left out
 
 
 def test_moments_with_hole(spark):
