@@ -157,9 +157,10 @@ def analysis(px: int, zoom: int = 12) -> list[str]:
 
 
 def fit(name: str, cells: str, y: str = "osm") -> str:
-    return f"""{name} AS (SELECT sxy / nullif(sxx, 0) AS coefficient, n, sqrt(greatest(syy - sxy * sxy / nullif(sxx, 0), 0) / n) AS rmse,
-    1 - greatest(syy - sxy * sxy / nullif(sxx, 0), 0) / nullif(syy, 0) AS r2
-    FROM (SELECT sum(pop * pop) AS sxx, sum(pop * {y}) AS sxy, sum({y} * {y}) AS syy, count(*) AS n FROM {cells} WHERE pop IS NOT NULL AND {y} IS NOT NULL))"""
+    return f"""{name}_slope AS (SELECT sum(pop * {y}) / nullif(sum(pop * pop), 0) AS coefficient FROM {cells} WHERE pop IS NOT NULL AND {y} IS NOT NULL),
+{name} AS (SELECT any_value(coefficient) AS coefficient, count(*) AS n, sqrt(avg(power({y} - coefficient * pop, 2))) AS rmse,
+    1 - sum(power({y} - coefficient * pop, 2)) / nullif(sum({y} * {y}), 0) AS r2
+    FROM {cells}, {name}_slope WHERE pop IS NOT NULL AND {y} IS NOT NULL)"""
 
 
 def model(name: str = "model") -> str:

@@ -15,6 +15,7 @@ from gridfill.functions.mercator import lat_to_y, lon_to_x, x_to_lon, y_to_lat
 from gridfill.functions.shapes import polygon_moments, slug
 from gridfill.operators import cells as C
 from gridfill.operators import coverage, density, joins, regression, report, zonal
+from gridfill.plans import changes
 from gridfill.plans import coverage_model as plans
 from gridfill.sources import features as feats
 from gridfill.sources import layers, pixels, zones
@@ -287,10 +288,13 @@ def country_footprint(spark, sf):
 
 
 def coverage_change(spark, sf):
-    px, model = fixtures.pixels(spark, sf), _train_labeled(spark, sf)
-    old = plans.predict_labeled(px, fixtures.features(spark, sf, "old"), model)
-    new = plans.predict_labeled(px, fixtures.features(spark, sf), model)
-    return rounded(joins.coverage_change(old, new), osm_before=2, osm_after=2, index_before=6, index_after=6,
+    """The report of the old snapshot is stored; that of the new one is made from it and the tiles that changed."""
+    px, old, new, path = fixtures.pixels(spark, sf), fixtures.features(spark, sf, "old"), fixtures.features(spark, sf), scratch_dir(spark)
+    layers.write_layer(_pop(spark, sf, LABELED), f"{path}/pop", ["pop"], LABELED)
+    pop = layers.read_band(spark, f"{path}/pop", 0, "pop")
+    model = _train_labeled(spark, sf).select("coefficient").first()["coefficient"]
+    changes.write_report_version(plans.predict_labeled(px, old, model), f"{path}/report")
+    return rounded(changes.renew_report(spark, f"{path}/report", pop, old, new, model), osm_before=2, osm_after=2, index_before=6, index_after=6,
                    osm_change=2, index_change=6)
 
 
@@ -438,8 +442,8 @@ def stored_pyramid(spark, sf):
     path, pop = f"{scratch_dir(spark)}/pyramid", _pop(spark, sf, LABELED)
     layers.write_pyramid(pop.withColumn("pop", F.col("pop") * 2), path, "pop", LABELED)
     layers.write_pyramid(pop, path, "pop", LABELED)
-    levels = spark.read.parquet(f"{path}/levels").select(F.col("zoom").cast("int").alias("zoom"), *CELL_KEY, "pop")
-    bars = spark.read.parquet(f"{path}/histogram").select(
+    levels = layers.read_pyramid(spark, path).select(F.col("zoom").cast("int").alias("zoom"), *CELL_KEY, "pop")
+    bars = layers.read_histogram(spark, path).select(
         F.lit(-1).alias("zoom"), F.col("bucket").alias("tile_col"), F.col("cells").alias("tile_row"), F.lit(0).cast("bigint").alias("cell_col"),
         F.lit(0).cast("bigint").alias("cell_row"), F.col("low").alias("pop"))
     return rounded(levels.unionByName(bars), pop=2)

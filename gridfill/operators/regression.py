@@ -13,24 +13,31 @@ from gridfill.functions.grid import Grid
 from gridfill.operators.coverage import cells_by_zone
 
 
-RESOLUTION = 1e-12
-
-
 def fit_through_origin(cells: DataFrame, by: Sequence[str] = (), x: str = "pop", y: str = "osm") -> DataFrame:
     """``*by, coefficient, n, rmse, r2`` of ``y ~ x`` without intercept, over cells holding both.
 
-    One pass of partial sums, so squared errors below ``RESOLUTION`` of all squares are rounding and count as 0. R2 is
-    taken about zero, as is usual without an intercept.
+    Two passes of partial sums: the first gives the coefficients, the second sums what they leave over, cell by cell, so a
+    fit much closer than the values are large keeps its digits. R2 is taken about zero, as is usual without an intercept.
     """
     both = cells.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    sums = both.groupBy(*by).agg(
-        F.sum(F.col(x) * F.col(x)).alias("sxx"), F.sum(F.col(x) * F.col(y)).alias("sxy"),
-        F.sum(F.col(y) * F.col(y)).alias("syy"), F.count(F.lit(1)).alias("n"))
-    error = F.col("syy") - F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx"))
-    error = F.when(error > RESOLUTION * F.col("syy"), error).when(error.isNotNull(), 0.0)
-    return sums.select(
-        *by, F.try_divide("sxy", "sxx").alias("coefficient"), "n",
-        F.sqrt(F.try_divide(error, F.col("n"))).alias("rmse"), (1 - F.try_divide(error, F.col("syy"))).alias("r2"))
+    fit = F.try_divide(F.sum(F.col(x) * F.col(y)), F.sum(F.col(x) * F.col(x))).alias("coefficient")
+    if by:
+        slopes = both.groupBy(*by).agg(fit)
+        known = both.select(*by, x, y).join(slopes.withColumnsRenamed({b: f"_{b}" for b in by}), _same(by), "left").drop(*[f"_{b}" for b in by])
+    else:
+        known = both.select(x, y, both.agg(fit).scalar().alias("coefficient"))
+    residual = F.col(y) - F.col("coefficient") * F.col(x)
+    sums = known.groupBy(*by).agg(F.first("coefficient").alias("coefficient"), F.count(F.lit(1)).alias("n"), F.sum(residual * residual).alias("error"),
+                                  F.sum(F.col(y) * F.col(y)).alias("squares"))
+    return sums.select(*by, "coefficient", "n", F.sqrt(F.try_divide("error", F.col("n"))).alias("rmse"), (1 - F.try_divide("error", "squares")).alias("r2"))
+
+
+def _same(by: Sequence[str]):
+    """Equal keys, null ones too."""
+    same = F.lit(True)
+    for b in by:
+        same = same & F.col(b).eqNullSafe(F.col(f"_{b}"))
+    return same
 
 
 def fit_per_country(cells: DataFrame, spans: DataFrame, grid: Grid, px: int, key: str = "code") -> DataFrame:

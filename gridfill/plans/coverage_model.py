@@ -13,6 +13,7 @@ from gridfill.operators.joins import pop_with_footprint, tile_stats_with_footpri
 from gridfill.operators.regression import fit_through_origin, predict_footprint
 from gridfill.operators.report import completeness_index
 from gridfill.sources.features import building_polygons
+from gridfill.sources.scratch import checkpointed
 
 Model = DataFrame | LinearRegressionModel | float
 
@@ -57,7 +58,8 @@ def analysis_cells(pixels: DataFrame, features: DataFrame, px: int, grid: Grid =
 
 
 def _trained(cells: DataFrame) -> DataFrame:
-    model = fit_through_origin(cells)
+    # stored: a fit reads the cells twice, and who predicts with it then plans and computes none of the training again
+    model = fit_through_origin(checkpointed(cells.select("pop", "osm")))
     return model.withColumn("coefficient", F.when(F.col("n") > 0, F.col("coefficient")).otherwise(F.raise_error(F.lit("no cell to train on"))))
 
 

@@ -92,10 +92,30 @@ def test_layer_round_trip(spark, people, tmp_path):
     assert "PartitionFilters: [isnotnull(zoom" in scan and "PushedFilters: [IsNotNull(band), EqualTo(band,0)]" in scan
 
 
-def test_pyramid_replaces_its_levels(spark, people, tmp_path):
+def test_pyramid_is_replaced_as_a_whole(spark, people, tmp_path, monkeypatch):
     cells, path = C.pop_grid(people, GRID.with_px(4)), str(tmp_path / "pyramid")
-    layers.write_pyramid(cells.withColumn("pop", F.col("pop") * 2), path, "pop", GRID.with_px(4))
+    with pytest.raises(LookupError):
+        layers.read_pyramid(spark, path)
+
+    def totals():
+        rows = layers.read_pyramid(spark, path).groupBy("zoom").agg(F.sum("pop").alias("pop")).collect()
+        return {r.zoom: r.pop for r in rows}
+
     layers.write_pyramid(cells, path, "pop", GRID.with_px(4))
-    sums = spark.read.parquet(f"{path}/levels").groupBy("zoom").agg(F.sum("pop").alias("s")).collect()
-    assert {r.zoom: r.s for r in sums} == {z: total(cells, "pop") for z in range(13)}
-    assert total(spark.read.parquet(f"{path}/histogram"), "cells") == cells.count()
+    first, bars = totals(), sorted(map(tuple, layers.read_histogram(spark, path).collect()))
+    assert set(first) == set(range(13)) and len({round(v, 3) for v in first.values()}) == 1
+    write = layers._write_level
+
+    def breaks(level, target, order):
+        if target.endswith("zoom=6"):
+            raise OSError("disk gone")
+        write(level, target, order)
+
+    monkeypatch.setattr(layers, "_write_level", breaks)
+    with pytest.raises(OSError):
+        layers.write_pyramid(cells.withColumn("pop", F.col("pop") * 2), path, "pop", GRID.with_px(4))
+    assert totals() == first and sorted(map(tuple, layers.read_histogram(spark, path).collect())) == bars  # old levels only
+    monkeypatch.setattr(layers, "_write_level", write)
+    layers.write_pyramid(cells.withColumn("pop", F.col("pop") * 2), path, "pop", GRID.with_px(4))
+    assert totals() == pytest.approx({z: 2 * v for z, v in first.items()})
+    assert layers.drop_old_versions(spark, path) == 2 and totals() == pytest.approx({z: 2 * v for z, v in first.items()})

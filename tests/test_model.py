@@ -8,6 +8,7 @@ from checks import fixtures
 from gridfill.functions.grid import Grid
 from gridfill.operators import cells as layers
 from gridfill.operators import coverage, regression, report, zonal
+from gridfill.plans import changes
 from gridfill.plans import coverage_model as plans
 from gridfill.sources import features, zones
 
@@ -153,3 +154,39 @@ def test_a_loaded_model_predicts_in_the_plan(spark, tmp_path):
     got, want = (plans.predict_labeled(pixels, buildings, m).agg(F.sum("prediction_sum")).first()[0]
                  for m in (regression.load_model(str(tmp_path / "m")), float(model.coefficients[0])))
     assert got == pytest.approx(want) and got > 0
+
+
+def test_close_fits_keep_their_digits(spark):
+    """Residuals of 1e-8 beside sums of squares of 1e12 and more."""
+    x = [1e5 + i for i in range(200)]
+    y = [6.5 * v + (1e-8 if i % 2 else -1e-8) for i, v in enumerate(x)]
+    cells = spark.createDataFrame([(i % 3 or None, a, b) for i, (a, b) in enumerate(zip(x, y, strict=True))], "country int, pop double, osm double")
+    slope = math.fsum(a * b for a, b in zip(x, y, strict=True)) / math.fsum(a * a for a in x)
+    want = math.sqrt(math.fsum((b - slope * a) ** 2 for a, b in zip(x, y, strict=True)) / len(x))
+    fit = regression.fit_through_origin(cells).first()
+    assert fit.rmse == pytest.approx(want, rel=0.1, abs=2e-10) and fit.n == 200 and fit.r2 == 1.0
+    assert sorted(r.n for r in regression.fit_through_origin(cells, ["country"]).collect()) == [66, 67, 67]
+    assert regression.fit_through_origin(cells.limit(0)).first().n == 0
+
+
+def test_report_is_renewed_by_changed_tiles(spark, tmp_path):
+    """A stored report brought up to date equals one computed anew, and only tiles of changed buildings are touched."""
+    old, new, grid = fixtures.features(spark, SF, "old"), fixtures.features(spark, SF), Grid().with_px(4)
+    moved = new.where("building_id <> 20").unionByName(new.where("building_id = 20").withColumn("tags", F.expr("map('building', 'yes', 'building:levels', '9')")))
+    people, path = fixtures.pixels(spark, SF), str(tmp_path / "report")
+    pop = layers.pop_grid(people, grid)
+    changes.write_report_version(plans.predict_labeled(people, old, 6.5), path)
+    assert changes.changed_features(new, new.withColumn("building_id", F.col("building_id") + 1)).isEmpty()
+    twice = new.unionByName(new.where("building_id = 1"))
+    assert changes.changed_features(new, twice).count() == 1  # a copy more is a change
+
+    def rows(df):
+        return sorted((r.tile_col, r.tile_row, *[None if v is None else round(v, 4) for v in (r["index"], r.pop_sum, r.osm_sum, r.prediction_sum)]) for r in df.collect())
+
+    renewed = changes.updated_report(changes.read_report_version(spark, path), pop, old, moved, 6.5)
+    assert rows(renewed) == rows(plans.predict_labeled(people, moved, 6.5))
+    tiles, all_tiles = changes.changed_tiles(new, moved), coverage.touched_tiles(features.building_polygons(new), Grid())
+    assert 1 <= tiles.count() <= 4 < all_tiles.count()
+    done = changes.renew_report(spark, path, pop, old, moved, 6.5)
+    assert rows(changes.read_report_version(spark, path)) == rows(renewed)
+    assert 0 < done.where("osm_change <> 0").count() < done.count() and changes.changed_tiles(new, new).isEmpty()
