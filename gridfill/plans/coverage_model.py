@@ -36,7 +36,7 @@ def analysis_layers(pixels: DataFrame, features: DataFrame, px: int, grid: Grid
         if not areas:
             return on_grid(source, grid.with_px(px))
         for area in areas:
-            source = prune(source, touched_tiles(area, grid), grid)
+            source = prune(source, checkpointed(touched_tiles(area, grid)), grid)  # few rows, read at several places of the plan
         cells = on_grid(source, grid)
         for area in areas:
             cells = mask_cells(cells, area, grid)
