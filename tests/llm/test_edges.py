@@ -43,7 +43,7 @@ def test_quotes(spark):
     messages = spark.createDataFrame([(*t, "d", 1) for t in talk], schema)
     got = rows(quotes.thread_conversations(messages))
     want = [(1, 0, "u", talk[0][3], None, 0, 0, 0), (1, 1, "a", "Fine.", 0, 1, 1, 1), (1, 2, "u", "Ok", 1, 2, 2, 2), *[(1, 3, "a", "Good", 0, 1, 3, 1)] * 2,
-            (2, 5, "u", "", None, 0, 0, 0), (None, 1, "u", "", None, 0, None, 1), (3, None, "a", "y", None, 0, None, 0), (1, 4, "u", "", 3, 2, 4, 1)]
+            (2, 5, "u", "", None, 0, 0, 0), (None, 1, "u", "> x", None, 0, None, 0), (3, None, "a", "y", None, 0, None, 0), (1, 4, "u", "> said by nobody", 3, 2, 4, 0)]
     assert got == sorted(want, key=repr)
     assert quotes.thread_conversations(messages.limit(0)).isEmpty()
     chain = spark.range(3000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("u").alias("role"), F.concat(F.lit("line "), "id").alias("text"))
