@@ -245,6 +245,12 @@ def cells_in_zones(cells: str, px: int, name: str) -> list[str]:
 SRC = "0.0008333::DOUBLE"
 SRC_PIX = f"""src AS (SELECT floor((lon + 180::DOUBLE) / {SRC})::BIGINT AS pc, floor((90::DOUBLE - lat) / {SRC})::BIGINT AS pr,
     CASE WHEN k % 97 = 0 THEN NULL ELSE value END AS value FROM pix)"""
+ONE_PIX = "one AS (SELECT pc, pr, sum(value) AS value FROM src WHERE value IS NOT NULL GROUP BY pc, pr)"
+SRC_BLOCKS = """blocks AS (SELECT DISTINCT pc // 48 AS bc, pr // 48 AS br FROM one),
+covered AS (SELECT tile_col, tile_row, sum((least(bc * 48 + 48, tile_col * 256 + 256) - greatest(bc * 48, tile_col * 256))
+        * (least(br * 48 + 48, tile_row * 256 + 256) - greatest(br * 48, tile_row * 256)))::BIGINT AS n_pixels
+    FROM (SELECT *, unnest(range(br * 48 // 256, (br * 48 + 47) // 256 + 1)) AS tile_row
+        FROM (SELECT bc, br, unnest(range(bc * 48 // 256, (bc * 48 + 47) // 256 + 1)) AS tile_col FROM blocks)) GROUP BY ALL)"""
 VT = f"""vt AS (SELECT k, floor((x + {W}) / {tile()})::BIGINT AS tile_col, floor(({W} - y) / {tile()})::BIGINT AS tile_row,
     CASE WHEN k % 13 = 0 THEN 'LineString' ELSE 'Polygon' END AS geom_type FROM bld)"""
 KEYS = "tile_col, tile_row, cell_col, cell_row"
@@ -362,6 +368,13 @@ ORACLE: dict[str, str] = {
           AND pr BETWEEN (pr // 256 + dr) * 256 - 3 AND (pr // 256 + dr) * 256 + 258"""),
     "drop_nodata_tiles": q(analysis(2, 15), f"""{_cells('joined b', pop=2, osm=1)} WHERE EXISTS (SELECT 1 FROM joined t
         WHERE t.tile_col = b.tile_col AND t.tile_row = b.tile_row AND t.osm IS NOT NULL)"""),
+    "block_tiles": q([PIX, SRC_PIX, ONE_PIX, SRC_BLOCKS], """SELECT tile_col, tile_row, n_pixels, n_data, round(value_sum, 2) AS value_sum FROM covered
+        JOIN (SELECT pc // 256 AS tile_col, pr // 256 AS tile_row, count(*) AS n_data, sum(value) AS value_sum FROM one GROUP BY 1, 2) USING (tile_col, tile_row)"""),
+    "block_halo_tiles": q([PIX, SRC_PIX, ONE_PIX], """SELECT pc // 256 + dc AS tile_col, pr // 256 + dr AS tile_row, pc - (pc // 256 + dc) * 256 + 3 AS pixel_col,
+        pr - (pr // 256 + dr) * 256 + 3 AS pixel_row, round(value, 2) AS value, dc = 0 AND dr = 0 AS is_center
+        FROM one, (VALUES (-1), (0), (1)) a(dc), (VALUES (-1), (0), (1)) b(dr)
+        WHERE pc BETWEEN (pc // 256 + dc) * 256 - 3 AND (pc // 256 + dc) * 256 + 258
+          AND pr BETWEEN (pr // 256 + dr) * 256 - 3 AND (pr // 256 + dr) * 256 + 258"""),
     "normalize_nodata": q([PIX], "SELECT lon, lat, CASE WHEN k % 97 = 0 THEN NULL ELSE value END AS value FROM pix"),
     "layer_metadata": q([PIX, pop(256)], f"""SELECT *, round(min_tile_col * {tile()} - {W}, 3) AS xmin, round({W} - (max_tile_row + 1) * {tile()}, 3) AS ymin,
         round((max_tile_col + 1) * {tile()} - {W}, 3) AS xmax, round({W} - min_tile_row * {tile()}, 3) AS ymax, 'EPSG:3857' AS crs, 'float64' AS cell_type,
@@ -374,6 +387,9 @@ ORACLE: dict[str, str] = {
     "training_polygons": q([SUP, SUP_VERT], """SELECT k, 0::BIGINT AS part, 0 AS ring_no, i::INT AS vertex_no, round(x, 3) AS x, round(y, 3) AS y FROM sup_vert"""),
     "report_json": q(SCORED_REPORT, report(key="'12/' || tile_col || '/' || tile_row AS tile")),
     "read_band": q(osm(16) + [PIX, pop(16), both(16)], _cells("joined", osm=2) + " WHERE osm IS NOT NULL"),
+    "read_box": q(osm(16) + [PIX, pop(16), both(16)], _cells("joined", osm=2) + f""" WHERE osm IS NOT NULL
+        AND tile_col BETWEEN floor((2872000 + {W}) / {tile()}) AND floor((2905500 + {W}) / {tile()})
+        AND tile_row BETWEEN floor(({W} + 2790500) / {tile()}) AND floor(({W} + 2826000) / {tile()})"""),
     "lonlat_to_mercator": q([PIX], "SELECT lon, lat, round(x, 3) AS x, round(y, 3) AS y FROM pix"),
     "mercator_to_lonlat": q([PIX], f"""SELECT x, y, round({LON_OF.format('x')}, 6) AS lon, round({LAT_OF.format('y')}, 6) AS lat
         FROM (SELECT round(x, 3) AS x, round(y, 3) AS y FROM pix)"""),

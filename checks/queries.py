@@ -18,12 +18,14 @@ from gridfill.operators import coverage, density, joins, regression, report, zon
 from gridfill.plans import changes
 from gridfill.plans import coverage_model as plans
 from gridfill.sources import features as feats
-from gridfill.sources import layers, pixels, zones
+from gridfill.sources import blocks, clustered, layers, pixels, zones
 from gridfill.sources.scratch import shared_folder
 
 GRID = Grid()
 FINE, QUARTER, COARSE, LABELED = GRID, GRID.with_px(64), GRID.with_px(16), GRID.with_px(4)
 
+BOX = (2872000.0, -2826000.0, 2905500.0, -2790500.0)  # xmin, ymin, xmax, ymax on the map
+
 REPORT_DIGITS = {"index": 6, "pop_sum": 2, "osm_sum": 2, "osm_avg": 2, "prediction_sum": 2, "prediction_avg": 2}
 MODEL_DIGITS = {"coefficient": 9, "rmse": 4, "r2": 6}
 
@@ -128,6 +130,24 @@ def read_band(spark, sf):
     return rounded(layers.read_band(spark, f"{path}/layer", 1, "osm"), osm=2)
 
 
+def read_box(spark, sf):
+    path = scratch_dir(spark)
+    clustered.write_clustered(_analysis(spark, sf, 16), f"{path}/layer", ["pop", "osm"])
+    return rounded(clustered.read_box(spark, f"{path}/layer", BOX, 1, "osm", COARSE), osm=2)
+
+
+def _raster_blocks(spark, sf):
+    return blocks.pixel_blocks(fixtures.pixels(spark, sf, with_nodata=True), side=48)  # blocks that lie across tiles
+
+
+def block_tiles(spark, sf):
+    return rounded(blocks.block_tiles(_raster_blocks(spark, sf)), value_sum=2)
+
+
+def block_halo_tiles(spark, sf):
+    return rounded(blocks.block_halo_tiles(_raster_blocks(spark, sf)), value=2)
+
+
 # -- projections and scalar functions ---------------------------------------------------------------------------
 
 
@@ -461,6 +481,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "training_polygons": training_polygons,
     "report_json": report_json,
     "read_band": read_band,
+    "read_box": read_box,
+    "block_tiles": block_tiles,
+    "block_halo_tiles": block_halo_tiles,
     "lonlat_to_mercator": lonlat_to_mercator,
     "mercator_to_lonlat": mercator_to_lonlat,
     "point_to_tile": point_to_tile,
