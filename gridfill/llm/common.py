@@ -71,12 +71,24 @@ def only(*tables: dict, limit: int) -> None:
             table.clear()
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
-    """``function`` over the Arrow batches of ``df``, up to ``ROWS`` rows at a time; it must look at each row for itself.
+BATCH_BYTES = "67108864b", "16m"
+"""Spark's own bound on an Arrow batch, and the one set in its place; a session's own bound stays."""
+
 
-    Workers import this package: on a cluster it comes by ``--py-files``; workers on this machine find it here.
+def with_workers(spark: SparkSession) -> None:
+    """Lets workers import this package, and bounds the bytes of the Arrow batches that they get.
+
+    On a cluster the package comes by ``--py-files``; workers on this machine find it here.
     """
-    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) == BATCH_BYTES[0]:
+        spark.conf.set(name, BATCH_BYTES[1])
+
+
+def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
+    """``function`` over the Arrow batches of ``df``, up to ``ROWS`` rows at a time; it must look at each row for itself."""
+    with_workers(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,6 +96,8 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
                 out = function(batch.slice(row, ROWS))
                 if out is not None and out.num_rows:
                     yield out
+                del out
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
@@ -146,7 +160,7 @@ def map_groups(df: DataFrame, keys: list[str], function: Callable[[pa.RecordBatc
     group, so callers bound their groups.
     """
     spark = df.sparkSession
-    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+    with_workers(spark)
     at = [df.columns.index(k) for k in keys]
 
     def bounds(rows: pa.RecordBatch) -> np.ndarray:

@@ -13,9 +13,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, FloatType, IntegerType, StructField, StructType
 
-from gridfill.llm.common import lists, map_batches, map_groups, only, stored, texts
+from gridfill.llm.common import ROWS, lists, map_batches, map_groups, only, stored, texts, with_workers
 
 BITS = 18
 SHAPES = 4096
@@ -243,11 +243,12 @@ def _read(documents: DataFrame, lexicon: frozenset[str], text: str = "text", kee
     Each text is split and looked up here once; the scorer is fitted on and applied to what this gives.
     """
     kept = [c for c in documents.columns if keep_text or c != text]
-    rows = documents.select(F.struct(*kept).alias("row"), F.col(text).alias("text"))
+    at = kept.index(text) if keep_text else None  # a kept text goes to Python once, inside its row
+    rows = documents.select(F.struct(*kept).alias("row"), *([] if keep_text else [F.col(text).alias("text")]))
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         table = _table(lexicon)
-        found = [describe(t, table) for t in texts(batch.column(1))]
+        found = [describe(t, table) for t in texts(batch.column(1) if at is None else batch.column(0).field(at))]
         votes, features, shapes = zip(*found, strict=True)
         cut = [lists(np.concatenate(x).astype(kind), np.array(list(map(len, x))), arrow) for x, kind, arrow in (
             (features, np.int32, pa.int32()), (shapes, np.float32, pa.float32()))]
@@ -342,19 +343,25 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
 
 
 def _apply(read: DataFrame, scorer: Scorer) -> DataFrame:
-    """``row, p_low, p_toxic`` of what ``_read`` gave."""
-    rows = read.select("row", "features", "shapes")
+    """``row, p_low, p_toxic`` of what ``_read`` gave. Only features go to Python; rows and their texts wait in the JVM."""
+    with_workers(read.sparkSession)
     shared = read.sparkSession.sparkContext.broadcast(scorer.weights)
 
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        weights, (feature, shape) = shared.value, batch.columns[1:]
+    def some(feature: pa.Array, shape: pa.Array) -> np.ndarray:
+        weights = shared.value
         lengths = feature.value_lengths().to_numpy()  # no row is without features
         values = _values(lengths, shape.flatten().to_numpy(), shape.value_lengths().to_numpy())
-        out = np.add.reduceat(weights[:, feature.flatten().to_numpy()] * values, np.cumsum(lengths) - lengths, axis=1) + weights[:, -1:]
-        p = 1 / (1 + np.exp(-np.clip(out, -30, 30)))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(p[0]), pa.array(p[1])], names=["row", "p_low", "p_toxic"])
+        return np.add.reduceat(weights[:, feature.flatten().to_numpy()] * values, np.cumsum(lengths) - lengths, axis=1) + weights[:, -1:]
+
+    def chances(feature: pa.Array, shape: pa.Array) -> pa.Array:
+        parts = [some(feature.slice(i, ROWS), shape.slice(i, ROWS)) for i in range(0, len(feature), ROWS)]
+        p = 1 / (1 + np.exp(-np.clip(np.concatenate(parts, axis=1) if parts else np.zeros((2, 0)), -30, 30)))
+        return pa.StructArray.from_arrays([pa.array(p[0]), pa.array(p[1])], names=["low", "toxic"])
 
-    return map_batches(rows, one, StructType([rows.schema["row"], StructField("p_low", DoubleType()), StructField("p_toxic", DoubleType())]))
+    # taken for nondeterministic, so that a filter on the chances does not compute them a second time
+    chance = F.arrow_udf(chances, "low double, toxic double").asNondeterministic()
+    scored = read.select("row", chance("features", "shapes").alias("chance"))
+    return scored.select("row", F.col("chance.low").alias("p_low"), F.col("chance.toxic").alias("p_toxic"))
 
 
 def score(documents: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame:
