@@ -406,6 +406,9 @@ ORACLE: dict[str, str] = {
         round({LAT_OF.format(f'{W} - (r + dr) * {tile()}')}, 6) AS lat
         FROM (SELECT unnest(range(c0, c1 + 1)) AS c, r0, r1 FROM (SELECT min(tile_col) c0, max(tile_col) c1, min(tile_row) r0, max(tile_row) r1 FROM pop)) a,
         LATERAL (SELECT unnest(range(r0, r1 + 1)) AS r) b, (VALUES (0, 0, 1), (1, 1, 1), (2, 1, 0), (3, 0, 0), (4, 0, 1)) v(i, dc, dr)"""),
+    "zone_cover": q([*zone_fractions(1), """full_squares AS (SELECT k, l::INT AS l, gc >> l AS c, gr >> l AS r FROM zf, range(7) levels(l)
+        GROUP BY ALL HAVING count(*) = 1 << (2 * l))"""], """SELECT k AS code, l AS level, c AS square_col, r AS square_row FROM full_squares f
+        WHERE NOT EXISTS (SELECT 1 FROM full_squares g WHERE g.k = f.k AND g.l = f.l + 1 AND g.c = f.c >> 1 AND g.r = f.r >> 1)"""),
     "tiles_for_geometry": q(zone_fractions(1), "SELECT k AS code, gc AS tile_col, gr AS tile_row FROM zf"),
     "tms_row_flip": q([BLD, VT], "SELECT k AS building_id, 4095 - tile_row AS tile_row, tile_row AS north_row FROM vt"),
     "cell_area_m2": q([BLD, VT, tile_areas("vt")], "SELECT tile_col, tile_row, round(area / 65536, 6) AS cell_area_m2 FROM tile_area"),

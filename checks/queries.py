@@ -14,7 +14,7 @@ from gridfill.functions.grid import CELL_KEY, TILE_KEY, DegreeGrid, Grid
 from gridfill.functions.mercator import lat_to_y, lon_to_x, x_to_lon, y_to_lat
 from gridfill.functions.shapes import polygon_moments, slug
 from gridfill.operators import cells as C
-from gridfill.operators import coverage, density, joins, regression, report, zonal
+from gridfill.operators import cover, coverage, density, joins, regression, report, zonal
 from gridfill.plans import changes
 from gridfill.plans import coverage_model as plans
 from gridfill.sources import features as feats
@@ -206,6 +206,10 @@ def tiles_for_geometry(spark, sf):
     return coverage.tiles_for_geometry(_zones(spark, sf), GRID)
 
 
+def zone_cover(spark, sf):
+    return cover.zone_cover(_zones(spark, sf), GRID)
+
+
 def tms_row_flip(spark, sf):
     rows = fixtures.vector_tiles(spark, sf).select("building_id", "tile_row")
     return rows.select("building_id", "tile_row", GRID.flip_row(F.col("tile_row")).alias("north_row"))
@@ -492,6 +496,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tile_pixel_window": tile_pixel_window,
     "tile_grid": tile_grid,
     "tiles_for_geometry": tiles_for_geometry,
+    "zone_cover": zone_cover,
     "tms_row_flip": tms_row_flip,
     "cell_area_m2": cell_area,
     "building_filter": building_filter,

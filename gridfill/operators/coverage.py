@@ -258,10 +258,11 @@ def cells_by_zone(cells: DataFrame, spans: DataFrame, grid: Grid, key: str = "co
 
 def touched_tiles(polygons: DataFrame, grid: Grid) -> DataFrame:
     """Distinct tiles that the polygons' bounding boxes touch: few rows, and enough to leave the rest of the world out."""
-    return _box_tiles(usable_areas(polygons), grid).select(*TILE_KEY).distinct()
+    return box_tiles(usable_areas(polygons), grid).select(*TILE_KEY).distinct()
 
 
-def _box_tiles(polygons: DataFrame, grid: Grid) -> DataFrame:
+def box_tiles(polygons: DataFrame, grid: Grid) -> DataFrame:
+    """Each polygon once for every tile that its bounding box touches."""
     outer = F.get("rings", F.lit(0))
 
     def edge(pick, axis: str):
@@ -292,7 +293,7 @@ def in_tiles(polygons: DataFrame, tiles: DataFrame, grid: Grid) -> DataFrame:
     """Polygons whose bounding box touches one of ``tiles``. Polygons are known by a hash of their rings, so that only hashes
     are multiplied by tiles; should two share one, a polygon too many stays."""
     known = polygons.withColumn("_shape", F.xxhash64("rings"))
-    touching = _box_tiles(known.select("_shape", "rings"), grid).select("_shape", *TILE_KEY).join(tiles, TILE_KEY, "left_semi")
+    touching = box_tiles(known.select("_shape", "rings"), grid).select("_shape", *TILE_KEY).join(tiles, TILE_KEY, "left_semi")
     return known.join(touching.select("_shape").distinct(), "_shape", "left_semi").drop("_shape")
 
 

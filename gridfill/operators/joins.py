@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridfill.functions.grid import CELL_KEY, TILE_KEY, Grid
-from gridfill.operators.coverage import footprint_grid, in_tiles, tiles_for_geometry
+from gridfill.operators.cover import tiles_in_cover, zone_cover
+from gridfill.operators.coverage import box_tiles, footprint_grid, in_tiles
 from gridfill.operators.zonal import tile_stats
 
 
@@ -31,8 +32,8 @@ def tile_stats_with_footprint(scored: DataFrame, footprint: DataFrame) -> DataFr
 
 
 def country_footprint(buildings: DataFrame, zone: DataFrame, grid: Grid = Grid(12, 12), key: str = "code") -> DataFrame:
-    """Footprint cells of all tiles covering a zone."""
-    covered = tiles_for_geometry(zone, grid, key).select(*TILE_KEY).distinct()
+    """Footprint cells of all tiles covering a zone. The buildings' tiles meet the squares of its cover; no tile without any is listed."""
+    covered = tiles_in_cover(box_tiles(buildings, grid), zone_cover(zone, grid, key), key).select(*TILE_KEY).distinct()
     return footprint_grid(in_tiles(buildings, covered, grid), grid).join(covered, TILE_KEY, "left_semi")
 
 
