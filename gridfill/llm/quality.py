@@ -217,7 +217,7 @@ def accuracies(patterns: np.ndarray, counts: np.ndarray, known: np.ndarray, roun
 def _posteriors(votes: DataFrame, columns: slice, gold: str) -> DataFrame:
     """``key, p``: the posterior for each pattern of votes; there are at most 3 ** labellers patterns."""
     pattern = F.concat(F.slice("votes", columns.start + 1, columns.stop - columns.start), F.array(F.col(gold).cast("int")))
-    counted = votes.groupBy(pattern.alias("pattern")).agg(F.count("*").alias("n")).collect()
+    counted = sorted(votes.groupBy(pattern.alias("pattern")).agg(F.count("*").alias("n")).collect(), key=lambda r: r.pattern)
     if not counted:
         return votes.sparkSession.createDataFrame([], "key string, p double")
     patterns = np.array([r.pattern for r in counted])
@@ -230,7 +230,7 @@ def _chosen(votes: DataFrame, settings: Settings) -> DataFrame:
     rows = votes.where("doc_id IS NOT NULL").withColumn("known", (F.col("gold_low") != 0) | (F.col("gold_toxic") != 0))
     n = {r.known: r.n for r in rows.groupBy("known").agg(F.count("*").alias("n")).collect()}
     known = min(n.get(True, 0), max(round(settings.gold * settings.sample), settings.sample - n.get(False, 0)))
-    least = lambda of, k: rows.where(of).orderBy(F.xxhash64("doc_id"), "doc_id").limit(k)
+    least = lambda of, k: rows.where(of).orderBy(F.xxhash64("doc_id"), "doc_id", "votes").limit(k)
     return least(F.col("known"), known).union(least(~F.col("known"), settings.sample - known)).drop("known")
 
 
@@ -257,13 +257,14 @@ def _read(documents: DataFrame, lexicon: frozenset[str], text: str = "text", kee
     return map_batches(rows, one, StructType([rows.schema["row"], *[StructField(c, t) for c, t in _READ.items()]]))
 
 
-def fit_logistic(feature: np.ndarray, value: np.ndarray, cut: np.ndarray, target: np.ndarray, trust: np.ndarray, rounds: int = 4, rate: float = 0.3,
-                 l1: float = 1.0, l2: float = 0.1) -> tuple[np.ndarray, float]:
+def fit_logistic(feature: np.ndarray, value: np.ndarray, cut: np.ndarray, target: np.ndarray, trust: np.ndarray, order: np.ndarray, rounds: int = 4,
+                 rate: float = 0.3, l1: float = 1.0, l2: float = 0.1) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic model of soft targets of some ``trust``, by follow-the-regularised-leader: one row at a time, every
-    feature with a learning rate of its own, and weight 0 until its gradients outweigh ``l1``."""
+    feature with a learning rate of its own, and weight 0 until its gradients outweigh ``l1``. Each round shuffles ``order`` anew, by
+    fixed seeds: what is learned depends on it, so it has to follow from the rows and not from how they came."""
     total, squares = np.zeros(N_FEATURES + 1), np.zeros(N_FEATURES + 1)
     for turn in range(rounds):
-        for i in np.random.default_rng(turn).permutation(len(target)).tolist():
+        for i in np.random.default_rng(turn).permutation(order).tolist():
             at, x = np.append(feature[cut[i]: cut[i + 1]], N_FEATURES), np.append(value[cut[i]: cut[i + 1]], 1.0)
             w = _weights(total[at], squares[at], rate, l1, l2)
             gradient = (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - target[i]) * trust[i] * x
@@ -285,7 +286,8 @@ def _train(rows: pa.RecordBatch, bounds: np.ndarray) -> pa.RecordBatch:
     ends = np.cumsum(lengths)
     cut = np.concatenate(([0], np.cumsum(keep)[ends - 1])) if len(ends) else np.zeros(1, np.int64)  # no row is without features
     feature, value = feature[keep], value[keep]
-    scorers = [fit_logistic(feature, value, cut, rows.column(i).to_numpy(), rows.column(i + 2).to_numpy()) for i in (3, 4)]
+    order = np.lexsort((rows.column(8).to_numpy(), rows.column(7).to_numpy()))
+    scorers = [fit_logistic(feature, value, cut, rows.column(i).to_numpy(), rows.column(i + 2).to_numpy(), order) for i in (3, 4)]
     table = np.stack([np.append(w, b) for w, b in scorers])
     at = np.flatnonzero((table != 0).any(axis=0))
     return pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[0, at]), pa.array(table[1, at])], names=["feature", "low", "toxic"])
@@ -310,9 +312,10 @@ def _fit(read: DataFrame, gold: DataFrame, lexicon: frozenset[str], settings: Se
         key = F.array_join(F.concat(F.slice("votes", part.start + 1, part.stop - part.start), F.array(F.col(gold_name))), ",")
         chosen = chosen.withColumn("key", key).join(F.broadcast(_posteriors(votes, part, gold_name)), "key").drop("key").withColumnRenamed("p", name)
         chosen = chosen.withColumn(name.replace("p_", "w_"), F.when(F.col(gold_name) != 0, 1.0).otherwise(settings.weak))
-    chosen = stored(chosen.select("doc_id", "p_low", "p_toxic", "w_low", "w_toxic").dropDuplicates(["doc_id"]))
+    learned = F.min(F.struct("p_low", "p_toxic", "w_low", "w_toxic")).alias("learned")  # of texts under one id
+    chosen = stored(chosen.groupBy("doc_id").agg(learned).select("doc_id", "learned.*"))
     told = read.select(F.col("row.doc_id").cast("long").alias("doc_id"), "features", "shapes").join(F.broadcast(chosen), "doc_id")
-    sample = stored(told.select(F.lit(0).alias("one"), "features", "shapes", "p_low", "p_toxic", "w_low", "w_toxic"))
+    sample = stored(told.select(F.lit(0).alias("one"), "features", "shapes", "p_low", "p_toxic", "w_low", "w_toxic", "doc_id", F.xxhash64("features", "shapes").alias("tie")))
     rows = map_groups(sample, ["one"], _train, "feature long, low double, toxic double").collect()
     weights = np.zeros((2, N_FEATURES + 1))
     for r in rows:
@@ -335,7 +338,7 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
     one task.
 
     Null texts count as empty. Of several labels of one id the worst counts; null ids and labels don't. Without documents
-    all weights are 0.
+    all weights are 0. The order and partitions in which rows come change nothing.
     """
     gold = _gold(labels)
     lexicon = _learned_words(documents, gold, settings)

@@ -134,3 +134,13 @@ def test_em_on_the_documents_own_votes(spark):
     both = {r.doc_id: (r.p_low, r.p_toxic) for r in quality.score(docs.select("doc_id", "text"), quality.fit(docs, labels)).collect()}
     once = {r.doc_id: (r.p_low, r.p_toxic) for r in quality.fit_and_score(docs.select("doc_id", "text"), labels).select("row.doc_id", "p_low", "p_toxic").collect()}
     assert both.keys() == once.keys() and np.allclose([both[k] for k in both], [once[k] for k in both])
+
+
+def test_classifier_does_not_depend_on_the_order_of_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet") for name in ("documents", "labels"))
+    docs = docs.select("doc_id", "text").unionByName(docs.selectExpr("doc_id", "concat(text, ' again, differently') AS text").limit(20))
+    settings = quality.Settings(sample=150)
+    one = quality.fit(docs.orderBy(F.desc("doc_id")).coalesce(1), labels, settings)
+    two = quality.fit(docs.repartition(7, "text"), labels.orderBy("toxic", F.desc("doc_id")), settings)
+    assert one.lexicon == two.lexicon and np.abs(one.weights).sum() > 0
+    assert np.array_equal(one.weights, two.weights)
